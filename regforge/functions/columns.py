@@ -1,9 +1,9 @@
 """Small building blocks shared by the operators."""
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 from string import Formatter
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
@@ -62,3 +62,23 @@ def packed_position(major: str | Column, minor: str | Column, minor_bits: int =
     return F.when(minor.between(0, width - 1), major * F.lit(width) + minor).otherwise(
         F.when(major.isNotNull() & minor.isNotNull(), F.raise_error(F.lit("position out of range")).cast("long"))
     )
+
+
+def explode_rows(
+    df: DataFrame,
+    array: str | Column,
+    name: str,
+    keep: Sequence[str | Column] = (),
+    position: str | None = None,
+) -> DataFrame:
+    """One row per array element; rows with an empty or NULL array disappear.
+
+    For a plain ``explode`` Catalyst infers the filter ``size(array) > 0`` and pushes it
+    below the expression that builds the array, which then is built twice per row.
+    Exploding with ``_outer`` and dropping the row of an empty array afterwards gives
+    the same rows and builds it once.
+    """
+    place = position or "_position_in_array"
+    rows = df.select(*keep, F.posexplode_outer(array).alias(place, name))
+    rows = rows.filter(F.col(place).isNotNull())
+    return rows if position else rows.drop(place)

@@ -61,6 +61,21 @@ def numbered_copies(items: Column) -> Column:
     return bind(F.sort_array(items), tag)
 
 
+def _no_copies(items: Column) -> Column:
+    return F.size(F.array_distinct(items)) == F.size(items)
+
+
 def multiset_overlap(left: Column, right: Column) -> Column:
-    """Size of the multiset intersection."""
-    return F.size(F.array_intersect(numbered_copies(left), numbered_copies(right))).cast("long")
+    """Size of the multiset intersection.
+
+    If one side repeats nothing, every minimum is 0 or 1 and the set intersection is the
+    answer already; that is the common case for n > 1.
+    """
+
+    def overlap(both: Column) -> Column:
+        a, b = both["a"], both["b"]
+        plain = F.size(F.array_intersect(a, b))
+        numbered = F.size(F.array_intersect(numbered_copies(a), numbered_copies(b)))
+        return F.when(_no_copies(a) | _no_copies(b), plain).otherwise(numbered)
+
+    return bind(F.struct(left.alias("a"), right.alias("b")), overlap).cast("long")

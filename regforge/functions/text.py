@@ -8,7 +8,8 @@ from pyspark.sql import functions as F
 from regforge import constants as C
 from regforge.functions.columns import as_column, fill
 
-WHITESPACE = r"[\s\x0B\x1C-\x1F\x85\xA0\u1680\u2000-\u200A\u2028\u2029\u202F\u205F\u3000]"
+# The Unicode property is several times faster than a class of listed code points.
+WHITESPACE = r"[\p{IsWhite_Space}\x1C-\x1F]"
 NON_WORD = r"[^\p{L}\p{N}_]+"
 
 
@@ -31,7 +32,7 @@ def tokens(text: str | Column) -> Column:
 
 def word_tokens(text: str | Column) -> Column:
     """Tokens of the normalised text."""
-    return F.array_remove(F.split(normalized(F.coalesce(as_column(text), F.lit(""))), " "), "")
+    return F.array_remove(F.split(F.lower(F.coalesce(as_column(text), F.lit(""))), NON_WORD), "")
 
 
 def alphanumeric_tokens(text: str | Column) -> Column:

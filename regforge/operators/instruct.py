@@ -84,8 +84,9 @@ def instruction_rows(
             _row(text(C.FAILURE_QUESTION), with_structure, text(C.FAILURE_ANSWER), C.TASK_FAILURE),
         ),
     ]
-    exploded = facts.select(*keep, F.explode(F.array_compact(F.array(*rows))).alias("_row"))
-    return exploded.select(*keep, "_row.instruction", "_row.input", "_row.output", "_row.task")
+    # A NULL element is a question the entity does not have.
+    exploded = facts.select(*keep, F.explode(F.array(*rows)).alias("_row"))
+    return exploded.filter(F.col("_row").isNotNull()).select(*keep, "_row.instruction", "_row.input", "_row.output", "_row.task")
 
 
 def binary_label(status: str | Column, approved: Sequence[str] = C.APPROVED_STATUSES) -> Column:

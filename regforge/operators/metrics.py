@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from regforge import constants as C
-from regforge.functions.columns import harmonic_mean, ratio
+from regforge.functions.columns import explode_rows, harmonic_mean, ratio
 from regforge.functions.multiset import multiset_overlap, ngram_count, ngrams
 from regforge.functions.subsequence import subsequence_counts
 from regforge.functions.text import (
@@ -181,7 +181,7 @@ def cosine_summary(df: DataFrame, similarity: str = "similarity") -> DataFrame:
 def candidate_counts(df: DataFrame, text: str) -> DataFrame:
     """Distinct structure candidates of a text column with their number of occurrences.
     Combines map-side, so a candidate that is everywhere costs one row per task."""
-    found = df.select(F.explode(structure_candidates(F.col(text))).alias("candidate"))
+    found = explode_rows(df, structure_candidates(F.col(text)), "candidate")
     return found.groupBy("candidate").agg(F.count(F.lit(1)).alias("occurrences"))
 
 

@@ -7,7 +7,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from regforge import constants as C
-from regforge.functions.columns import as_column, blank_to_null
+from regforge.functions.columns import as_column, blank_to_null, explode_rows
 from regforge.functions.text import split_names
 
 
@@ -19,7 +19,7 @@ def explode_names(
     separator: str = C.NAME_SEPARATOR,
 ) -> DataFrame:
     """One row per name in a delimited list column; blanks dropped, names trimmed."""
-    return df.select(*keep, F.explode(split_names(names, separator)).alias(name))
+    return explode_rows(df, split_names(names, separator), name, keep)
 
 
 def names_from_columns(
@@ -31,10 +31,11 @@ def names_from_columns(
     """
     present = [name for name in columns if name in df.columns]
     status = F.lit(C.LISTED_STATUS) if status is None else as_column(status)
-    stacked = df.select(
-        status.cast("string").alias("status"),
-        F.explode(F.array(*[F.col(name).cast("string") for name in present]) if present
-                  else F.array().cast("array<string>")).alias("drug_name"),
+    stacked = explode_rows(
+        df,
+        F.array(*[F.col(name).cast("string") for name in present]).cast("array<string>"),
+        "drug_name",
+        [status.cast("string").alias("status")],
     )
     return stacked.select(
         "drug_name", F.lit(source).alias("source"), "status", F.lit(0).cast("long").alias("position")
@@ -52,10 +53,14 @@ def names_from_lists(
     """Names of a table with a name list per row and its own status. ``separator=None``
     means the column already is an array. ``position`` (long) is the row order."""
     array = as_column(names) if separator is None else split_names(names, separator)
-    rows = df.select(
-        F.explode(array).alias("drug_name"),
-        as_column(status).cast("string").alias("status"),
-        as_column(position).cast("long").alias("position"),
+    rows = explode_rows(
+        df,
+        array,
+        "drug_name",
+        [
+            as_column(status).cast("string").alias("status"),
+            as_column(position).cast("long").alias("position"),
+        ],
     )
     return rows.select("drug_name", F.lit(source).alias("source"), "status", "position")
 

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from regforge import constants as C
-from regforge.functions.columns import as_column, blank_to_null, joined
+from regforge.functions.columns import as_column, blank_to_null, explode_rows, joined
 
 
 def read_pages(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
@@ -34,15 +34,6 @@ def parse_pages(
     return df.select(*keep, parsed.alias("_page")).select(*keep, "_page.*")
 
 
-def exploded(
-    pages: DataFrame, array: str, item: str, keep: Sequence[str] = (), position: str | None = None
-) -> DataFrame:
-    """One row per array element, as struct column ``item``."""
-    if position is None:
-        return pages.select(*keep, F.explode(array).alias(item))
-    return pages.select(*keep, F.posexplode(array).alias(position, item))
-
-
 def _first(values: str) -> Column:
     """First element of a list, NULL if the list is missing or empty."""
     return blank_to_null(F.get(F.col(values), F.lit(0)))
@@ -55,7 +46,7 @@ def _kept(keep: Sequence[str], position: str | None) -> list[str]:
 def flatten_labels(
     pages: DataFrame, keep: Sequence[str] = (), position: str | None = None
 ) -> DataFrame:
-    rows = exploded(pages, "results", "r", keep, position)
+    rows = explode_rows(pages, "results", "r", keep, position)
     lists = {
         "brand_name": "r.openfda.brand_name",
         "generic_name": "r.openfda.generic_name",
@@ -83,7 +74,7 @@ def flatten_events(
 ) -> DataFrame:
     """One row per (event, drug). The reaction list is joined before the drug array is
     exploded, so it is built once per event."""
-    events = exploded(pages, "results", "r", keep, position)
+    events = explode_rows(pages, "results", "r", keep, position)
     terms = F.transform(
         F.col("r.patient.reaction"), lambda x: F.coalesce(x["reactionmeddrapt"], F.lit(""))
     )
@@ -98,7 +89,7 @@ def flatten_events(
     )
     per_event = ["reactions", "outcome", "serious", "receive_date", "country"]
     kept = _kept(keep, position)
-    rows = exploded(shared, "drugs", "d", [*kept, *per_event], drug_position)
+    rows = explode_rows(shared, "drugs", "d", [*kept, *per_event], drug_position)
     return rows.select(
         *kept,
         *([drug_position] if drug_position else []),
@@ -112,7 +103,7 @@ def flatten_events(
 def flatten_recalls(
     pages: DataFrame, keep: Sequence[str] = (), position: str | None = None
 ) -> DataFrame:
-    rows = exploded(pages, "results", "r", keep, position)
+    rows = explode_rows(pages, "results", "r", keep, position)
     names = (
         "product_description", "reason_for_recall", "status", "classification", "recalling_firm",
         "recall_initiation_date", "voluntary_mandated", "city", "state",
@@ -125,7 +116,7 @@ def flatten_recalls(
 def flatten_products(
     pages: DataFrame, keep: Sequence[str] = (), position: str | None = None
 ) -> DataFrame:
-    rows = exploded(pages, "results", "r", keep, position)
+    rows = explode_rows(pages, "results", "r", keep, position)
     described = F.transform(
         F.col("r.active_ingredients"),
         lambda x: F.concat(

@@ -6,8 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from regforge import constants as C
-from regforge.functions.columns import as_column, blank_to_null, joined
-from regforge.sources.registry import exploded
+from regforge.functions.columns import as_column, blank_to_null, explode_rows, joined
 
 
 def flatten_trials(
@@ -20,7 +19,7 @@ def flatten_trials(
     """One row per study. With ``arrays`` also ``drug_name_list`` and ``phase_list``:
     names that contain the separator survive only there."""
     kept = [*keep, *([position] if position else [])]
-    rows = exploded(pages, "studies", "s", keep, position).select(
+    rows = explode_rows(pages, "studies", "s", keep, position).select(
         *kept, F.col("s.protocolSection").alias("p")
     )
     interventions = F.col("p.armsInterventionsModule.interventions")

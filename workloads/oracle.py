@@ -490,15 +490,17 @@ FROM rouge_n"""
 # Row by row of the subsequence table, all pairs at once.
 ROUGE_L = f"""
 whole AS (SELECT id, task, {alphanumeric("prediction")} AS p, {alphanumeric("reference")} AS r FROM pairs),
+wanted AS (SELECT id, unnest(range(1, len(r) + 1)) AS i, unnest(r) AS word FROM whole),
 cells AS (
-  SELECT id, CAST(0 AS BIGINT) AS i, unnest(range(1, len(p) + 1)) AS j, CAST(0 AS BIGINT) AS v FROM whole
+  SELECT id, CAST(0 AS BIGINT) AS i, unnest(range(1, len(p) + 1)) AS j, unnest(p) AS word, CAST(0 AS BIGINT) AS v
+  FROM whole
   UNION ALL
-  SELECT id, i, j, max(candidate) OVER (PARTITION BY id ORDER BY j) FROM (
-    SELECT c.id, c.i + 1 AS i, c.j,
-           greatest(c.v, CASE WHEN w.p[c.j] = w.r[c.i + 1]
+  SELECT id, i, j, word, max(candidate) OVER (PARTITION BY id ORDER BY j) FROM (
+    SELECT c.id, c.i + 1 AS i, c.j, c.word,
+           greatest(c.v, CASE WHEN c.word = w.word
                               THEN lag(c.v, 1, 0) OVER (PARTITION BY c.id ORDER BY c.j) + 1 ELSE 0 END) AS candidate
-    FROM cells c JOIN whole w USING (id) WHERE c.i < len(w.r))),
-lcs AS (SELECT c.id, max(c.v) AS v FROM cells c JOIN whole w USING (id) WHERE c.i = len(w.r) GROUP BY c.id),
+    FROM cells c JOIN wanted w ON w.id = c.id AND w.i = c.i + 1)),
+lcs AS (SELECT id, max(v) AS v FROM cells GROUP BY id),
 rouge_l AS (
   SELECT task, {f_measure("coalesce(v, 0)", "len(p)", "len(r)")} AS f FROM whole LEFT JOIN lcs USING (id))"""
 ORACLE_SQL["eval_rouge_l"] = f"""

@@ -13,6 +13,7 @@ from pyspark.sql import types as T
 from regforge import constants as C
 from regforge import schemas
 from regforge.functions import text as X
+from regforge.functions.columns import explode_rows
 from regforge.operators import compare, enrich, instruct, metrics, names, scoring, split, topk
 from regforge.operators.generate import batch_generate
 from regforge.plans.datasets import entity_names, unified_table
@@ -361,14 +362,14 @@ def eval_cosine(t, spark, folder):
 
 @query
 def smiles_known_rate(t, spark, folder):
-    words = t("benchmark").select(F.explode(X.tokens("text")).alias("canonical_smiles"))
+    words = explode_rows(t("benchmark"), X.tokens("text"), "canonical_smiles")
     rate = metrics.known_structure_rate(t("documents"), words, prediction="text", reference=None)
     return rounded(rate)
 
 
 @query
 def smiles_pair_rate(t, spark, folder):
-    words = t("documents").select(F.explode(X.tokens("text")).alias("canonical_smiles"))
+    words = explode_rows(t("documents"), X.tokens("text"), "canonical_smiles")
     return rounded(metrics.known_structure_rate(I.turn_pairs(t), words))
 
 
