@@ -4,7 +4,7 @@ Overlap counts ``min(count in a, count in b)`` over all items. The usual form, e
 both sides and group by (row, item), ships every n-gram of every text through a
 shuffle: about eight times the text volume for n = 1..4. Both arrays of a pair are
 already in the same row, so here the k-th copy of an item is tagged with k and the
-overlap is a plain set intersection: no exchange at all, linear after one sort.
+overlap is a set intersection: no exchange at all, linear after one sort.
 """
 
 from pyspark.sql import Column
@@ -61,21 +61,32 @@ def numbered_copies(items: Column) -> Column:
     return bind(F.sort_array(items), tag)
 
 
-def _no_copies(items: Column) -> Column:
-    return F.size(F.array_distinct(items)) == F.size(items)
+def _further_copies(items: Column) -> Column:
+    """Every copy of an item but its first."""
+    return bind(
+        F.sort_array(items),
+        lambda ordered: F.filter(ordered, lambda item, i: (i > 0) & (item == F.get(ordered, i - 1))),
+    )
+
+
+def _repeats(items: Column) -> Column:
+    return F.size(F.array_distinct(items)) < F.size(items)
 
 
 def multiset_overlap(left: Column, right: Column) -> Column:
     """Size of the multiset intersection.
 
-    If one side repeats nothing, every minimum is 0 or 1 and the set intersection is the
-    answer already; that is the common case for n > 1.
+    First copies meet in a set intersection. Only if both sides repeat something, which
+    is rare for n > 1, the further copies are numbered and compared too.
     """
 
     def overlap(both: Column) -> Column:
         a, b = both["a"], both["b"]
-        plain = F.size(F.array_intersect(a, b))
-        numbered = F.size(F.array_intersect(numbered_copies(a), numbered_copies(b)))
-        return F.when(_no_copies(a) | _no_copies(b), plain).otherwise(numbered)
+        further = F.size(
+            F.array_intersect(
+                numbered_copies(_further_copies(a)), numbered_copies(_further_copies(b))
+            )
+        )
+        return F.size(F.array_intersect(a, b)) + F.when(_repeats(a) & _repeats(b), further).otherwise(0)
 
     return bind(F.struct(left.alias("a"), right.alias("b")), overlap).cast("long")

@@ -46,20 +46,20 @@ def _kept(keep: Sequence[str], position: str | None) -> list[str]:
 def flatten_labels(
     pages: DataFrame, keep: Sequence[str] = (), position: str | None = None
 ) -> DataFrame:
-    rows = explode_rows(pages, "results", "r", keep, position)
+    rows = explode_rows(pages, "results", "_r", keep, position)
     lists = {
-        "brand_name": "r.openfda.brand_name",
-        "generic_name": "r.openfda.generic_name",
-        "manufacturer": "r.openfda.manufacturer_name",
-        "substance_name": "r.openfda.substance_name",
-        "product_type": "r.openfda.product_type",
-        "route": "r.openfda.route",
-        "application_number": "r.openfda.application_number",
-        "indications": "r.indications_and_usage",
-        "warnings": "r.warnings",
-        "dosage": "r.dosage_and_administration",
-        "active_ingredients": "r.active_ingredient",
-        "purpose": "r.purpose",
+        "brand_name": "_r.openfda.brand_name",
+        "generic_name": "_r.openfda.generic_name",
+        "manufacturer": "_r.openfda.manufacturer_name",
+        "substance_name": "_r.openfda.substance_name",
+        "product_type": "_r.openfda.product_type",
+        "route": "_r.openfda.route",
+        "application_number": "_r.openfda.application_number",
+        "indications": "_r.indications_and_usage",
+        "warnings": "_r.warnings",
+        "dosage": "_r.dosage_and_administration",
+        "active_ingredients": "_r.active_ingredient",
+        "purpose": "_r.purpose",
     }
     return rows.select(
         *_kept(keep, position), *[_first(path).alias(name) for name, path in lists.items()]
@@ -74,28 +74,28 @@ def flatten_events(
 ) -> DataFrame:
     """One row per (event, drug). The reaction list is joined before the drug array is
     exploded, so it is built once per event."""
-    events = explode_rows(pages, "results", "r", keep, position)
+    events = explode_rows(pages, "results", "_r", keep, position)
     terms = F.transform(
-        F.col("r.patient.reaction"), lambda x: F.coalesce(x["reactionmeddrapt"], F.lit(""))
+        F.col("_r.patient.reaction"), lambda x: F.coalesce(x["reactionmeddrapt"], F.lit(""))
     )
     shared = events.select(
         *_kept(keep, position),
         joined(terms, C.NAME_SEPARATOR).alias("reactions"),
-        blank_to_null("r.patient.summary.narrativeincludeclinical").alias("outcome"),
-        blank_to_null("r.serious").alias("serious"),
-        blank_to_null("r.receivedate").alias("receive_date"),
-        blank_to_null("r.occurcountry").alias("country"),
-        F.col("r.patient.drug").alias("drugs"),
+        blank_to_null("_r.patient.summary.narrativeincludeclinical").alias("outcome"),
+        blank_to_null("_r.serious").alias("serious"),
+        blank_to_null("_r.receivedate").alias("receive_date"),
+        blank_to_null("_r.occurcountry").alias("country"),
+        F.col("_r.patient.drug").alias("_drugs"),
     )
     per_event = ["reactions", "outcome", "serious", "receive_date", "country"]
     kept = _kept(keep, position)
-    rows = explode_rows(shared, "drugs", "d", [*kept, *per_event], drug_position)
+    rows = explode_rows(shared, "_drugs", "_d", [*kept, *per_event], drug_position)
     return rows.select(
         *kept,
         *([drug_position] if drug_position else []),
-        blank_to_null("d.medicinalproduct").alias("drug_name"),
-        blank_to_null("d.drugindication").alias("drug_indication"),
-        blank_to_null("d.drugcharacterization").alias("drug_characterization"),
+        blank_to_null("_d.medicinalproduct").alias("drug_name"),
+        blank_to_null("_d.drugindication").alias("drug_indication"),
+        blank_to_null("_d.drugcharacterization").alias("drug_characterization"),
         *per_event,
     )
 
@@ -103,22 +103,22 @@ def flatten_events(
 def flatten_recalls(
     pages: DataFrame, keep: Sequence[str] = (), position: str | None = None
 ) -> DataFrame:
-    rows = explode_rows(pages, "results", "r", keep, position)
+    rows = explode_rows(pages, "results", "_r", keep, position)
     names = (
         "product_description", "reason_for_recall", "status", "classification", "recalling_firm",
         "recall_initiation_date", "voluntary_mandated", "city", "state",
     )
     return rows.select(
-        *_kept(keep, position), *[blank_to_null(f"r.{name}").alias(name) for name in names]
+        *_kept(keep, position), *[blank_to_null(f"_r.{name}").alias(name) for name in names]
     )
 
 
 def flatten_products(
     pages: DataFrame, keep: Sequence[str] = (), position: str | None = None
 ) -> DataFrame:
-    rows = explode_rows(pages, "results", "r", keep, position)
+    rows = explode_rows(pages, "results", "_r", keep, position)
     described = F.transform(
-        F.col("r.active_ingredients"),
+        F.col("_r.active_ingredients"),
         lambda x: F.concat(
             F.coalesce(x["name"], F.lit("")),
             F.lit(" ("),
@@ -132,9 +132,9 @@ def flatten_products(
     )
     flat = rows.select(
         *_kept(keep, position),
-        *[blank_to_null(f"r.{name}").alias(name) for name in plain],
+        *[blank_to_null(f"_r.{name}").alias(name) for name in plain],
         joined(described, C.VALUE_SEPARATOR).alias("active_ingredients"),
-        joined(F.col("r.route"), C.NAME_SEPARATOR).alias("route"),
+        joined(F.col("_r.route"), C.NAME_SEPARATOR).alias("route"),
     )
     return flat.select(
         *_kept(keep, position), "product_ndc", "generic_name", "brand_name", "labeler_name",

@@ -16,15 +16,15 @@ def first_filled(*columns: str | Column) -> Column:
 def flatten_structures(pages: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
     """First property set per payload; a payload without one is an all-NULL miss."""
     rows = pages.select(
-        *keep, F.get(F.col("PropertyTable.Properties"), F.lit(0)).alias("p")
+        *keep, F.get(F.col("PropertyTable.Properties"), F.lit(0)).alias("_p")
     )
     return rows.select(
         *keep,
-        F.col("p.CID").alias("cid"),
-        blank_to_null("p.MolecularFormula").alias("molecular_formula"),
-        F.col("p.MolecularWeight").try_cast("double").alias("molecular_weight"),
-        first_filled("p.CanonicalSMILES", "p.ConnectivitySMILES").alias("canonical_smiles"),
-        blank_to_null("p.IsomericSMILES").alias("isomeric_smiles"),
-        blank_to_null("p.InChI").alias("inchi"),
-        blank_to_null("p.InChIKey").alias("inchi_key"),
+        F.col("_p.CID").alias("cid"),
+        blank_to_null("_p.MolecularFormula").alias("molecular_formula"),
+        F.col("_p.MolecularWeight").try_cast("double").alias("molecular_weight"),
+        first_filled("_p.CanonicalSMILES", "_p.ConnectivitySMILES").alias("canonical_smiles"),
+        blank_to_null("_p.IsomericSMILES").alias("isomeric_smiles"),
+        blank_to_null("_p.InChI").alias("inchi"),
+        blank_to_null("_p.InChIKey").alias("inchi_key"),
     )

@@ -19,36 +19,36 @@ def flatten_trials(
     """One row per study. With ``arrays`` also ``drug_name_list`` and ``phase_list``:
     names that contain the separator survive only there."""
     kept = [*keep, *([position] if position else [])]
-    rows = explode_rows(pages, "studies", "s", keep, position).select(
-        *kept, F.col("s.protocolSection").alias("p")
+    rows = explode_rows(pages, "studies", "_s", keep, position).select(
+        *kept, F.col("_s.protocolSection").alias("_p")
     )
-    interventions = F.col("p.armsInterventionsModule.interventions")
+    interventions = F.col("_p.armsInterventionsModule.interventions")
     drugs = F.transform(
         F.filter(interventions, lambda x: x["type"].isin(*drug_types)),
         lambda x: F.coalesce(x["name"], F.lit("")),
     )
     kinds = F.transform(interventions, lambda x: F.coalesce(x["type"], F.lit("")))
     measures = F.transform(
-        F.col("p.outcomesModule.primaryOutcomes"), lambda x: F.coalesce(x["measure"], F.lit(""))
+        F.col("_p.outcomesModule.primaryOutcomes"), lambda x: F.coalesce(x["measure"], F.lit(""))
     )
-    phases = F.col("p.designModule.phases")
+    phases = F.col("_p.designModule.phases")
     columns = {
-        "nct_id": blank_to_null("p.identificationModule.nctId"),
-        "title": blank_to_null("p.identificationModule.briefTitle"),
-        "official_title": blank_to_null("p.identificationModule.officialTitle"),
-        "status": blank_to_null("p.statusModule.overallStatus"),
-        "why_stopped": blank_to_null("p.statusModule.whyStopped"),
+        "nct_id": blank_to_null("_p.identificationModule.nctId"),
+        "title": blank_to_null("_p.identificationModule.briefTitle"),
+        "official_title": blank_to_null("_p.identificationModule.officialTitle"),
+        "status": blank_to_null("_p.statusModule.overallStatus"),
+        "why_stopped": blank_to_null("_p.statusModule.whyStopped"),
         "phase": joined(phases, C.NAME_SEPARATOR),
-        "study_type": blank_to_null("p.designModule.studyType"),
-        "enrollment": F.col("p.designModule.enrollmentInfo.count").try_cast("int"),
-        "conditions": joined(F.col("p.conditionsModule.conditions"), C.NAME_SEPARATOR),
+        "study_type": blank_to_null("_p.designModule.studyType"),
+        "enrollment": F.col("_p.designModule.enrollmentInfo.count").try_cast("int"),
+        "conditions": joined(F.col("_p.conditionsModule.conditions"), C.NAME_SEPARATOR),
         "drug_names": joined(drugs, C.NAME_SEPARATOR),
         "intervention_types": joined(kinds, C.NAME_SEPARATOR),
         "primary_outcomes": joined(measures, C.NAME_SEPARATOR),
-        "start_date": blank_to_null("p.statusModule.startDateStruct.date"),
-        "completion_date": blank_to_null("p.statusModule.completionDateStruct.date"),
-        "sponsor": blank_to_null("p.sponsorCollaboratorsModule.leadSponsor.name"),
-        "sponsor_type": blank_to_null("p.sponsorCollaboratorsModule.leadSponsor.class"),
+        "start_date": blank_to_null("_p.statusModule.startDateStruct.date"),
+        "completion_date": blank_to_null("_p.statusModule.completionDateStruct.date"),
+        "sponsor": blank_to_null("_p.sponsorCollaboratorsModule.leadSponsor.name"),
+        "sponsor_type": blank_to_null("_p.sponsorCollaboratorsModule.leadSponsor.class"),
     }
     if arrays:
         columns["drug_name_list"] = drugs
