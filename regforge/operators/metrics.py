@@ -178,11 +178,18 @@ def cosine_summary(df: DataFrame, similarity: str = "similarity") -> DataFrame:
 
 
 # --- structures inside text ------------------------------------------------------
-def candidate_counts(df: DataFrame, text: str) -> DataFrame:
-    """Distinct structure candidates of a text column with their number of occurrences.
-    Combines map-side, so a candidate that is everywhere costs one row per task."""
-    found = explode_rows(df, structure_candidates(F.col(text)), "candidate")
-    return found.groupBy("candidate").agg(F.count(F.lit(1)).alias("occurrences"))
+def candidate_counts(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """Distinct structure candidates with their occurrences per text column (``in_<column>``).
+
+    One pass over the rows for all columns. Combines map-side, so a candidate that is
+    everywhere costs one row per task.
+    """
+    lists = F.array(*[structure_candidates(F.col(column)) for column in columns])
+    sides = explode_rows(df, lists, "_found", position="_side")
+    found = explode_rows(sides, "_found", "candidate", ["_side"])
+    return found.groupBy("candidate").agg(
+        *[F.count_if(F.col("_side") == i).alias(f"in_{column}") for i, column in enumerate(columns)]
+    )
 
 
 def known_structure_rate(
@@ -194,39 +201,49 @@ def known_structure_rate(
 ) -> DataFrame:
     """Share of the candidates in predictions that the dictionary knows, how many those
     are, and the same count for references; NULL rate if there are no candidates."""
-    known = dictionary.select(F.col(structure).alias("candidate")).filter(
-        F.col("candidate").isNotNull()
-    ).distinct().withColumn("_known", F.lit(True))
-    sides = candidate_counts(df, prediction).withColumn("_side", F.lit("prediction"))
-    if reference is not None:
-        sides = sides.unionByName(candidate_counts(df, reference).withColumn("_side", F.lit("reference")))
-    marked = sides.join(known, "candidate", "left")
-
-    def total(side: str, only_known: bool) -> Column:
-        wanted = F.col("_side") == side
-        if only_known:
-            wanted = wanted & F.col("_known")
-        return F.coalesce(F.sum(F.when(wanted, F.col("occurrences"))), F.lit(0))
+    known = (
+        dictionary.select(F.col(structure).alias("candidate"))
+        .filter(F.col("candidate").isNotNull())
+        .distinct()
+        .withColumn("_known", F.lit(True))
+    )
+    columns = [prediction] if reference is None else [prediction, reference]
+    marked = candidate_counts(df, columns).join(known, "candidate", "left")
+
+    def total(column: str | None, only_known: bool) -> Column:
+        if column is None:
+            return F.lit(0).cast("long")
+        occurrences = F.col(f"in_{column}")
+        counted = F.when(F.col("_known"), occurrences) if only_known else occurrences
+        return F.coalesce(F.sum(counted), F.lit(0))
 
     counts = marked.agg(
-        total("prediction", False).alias("candidates"),
-        total("prediction", True).alias("valid_smiles_count"),
-        total("reference", True).alias("reference_smiles_count"),
+        total(prediction, False).alias("candidates"),
+        total(prediction, True).alias("valid_smiles_count"),
+        total(reference, True).alias("reference_smiles_count"),
     )
     rate = F.try_divide(F.col("valid_smiles_count").cast("double"), F.col("candidates"))
     return counts.withColumn("smiles_validity_rate", rate)
 
 
 # --- report form -----------------------------------------------------------------
-def to_long(df: DataFrame, priority: Sequence[str] = C.METRIC_PRIORITY, by: Sequence[str] = ()) -> DataFrame:
-    """Wide metric row(s) to ``(metric, value, rank)``. Metrics in ``priority`` come
-    first in that order, the others after them in column order."""
-    names = [name for name in df.columns if name not in by]
-    ordered = [name for name in priority if name in names] + [n for n in names if n not in priority]
+def metric_rank(metric: str | Column, priority: Sequence[str] = C.METRIC_PRIORITY) -> Column:
+    """Place of a metric in a report: priority metrics first, all others after them."""
+    metric = F.lit(metric) if isinstance(metric, str) else metric
+    places = [F.when(metric == name, F.lit(i)) for i, name in enumerate(priority, start=1)]
+    return F.coalesce(*places, F.lit(len(priority) + 1))
+
+
+def to_long(df: DataFrame, priority: Sequence[str] = C.METRIC_PRIORITY) -> DataFrame:
+    """Wide metric row to ``(metric, value, rank)``; metrics without a value disappear."""
     rows = F.array(
         *[
-            F.struct(F.lit(n).alias("metric"), F.col(n).cast("double").alias("value"), F.lit(i).alias("rank"))
-            for i, n in enumerate(ordered, start=1)
+            F.struct(
+                F.lit(name).alias("metric"),
+                F.col(name).cast("double").alias("value"),
+                metric_rank(name, priority).alias("rank"),
+            )
+            for name in df.columns
         ]
     )
-    return df.select(*by, F.inline(rows)).filter(F.col("value").isNotNull())
+    return df.select(F.inline(rows)).filter(F.col("value").isNotNull())

@@ -85,7 +85,10 @@ def _rows_at(places: DataFrame, strata: Sequence[str], wanted: DataFrame) -> Dat
     """``_place`` of each wanted row, as columns ``train`` and ``val`` per stratum."""
     by = [*strata, "_bucket"]
     order = Window.partitionBy(*by, "which").orderBy("_place")
-    ranked = places.join(wanted, by).withColumn("_row", F.row_number().over(order))
+    # 65,536 short names at most, hence the broadcast: rows of other ranges, nearly all,
+    # are gone before anything is shuffled.
+    near = places.join(F.broadcast(wanted.select("_bucket").distinct()), "_bucket", "left_semi")
+    ranked = near.join(wanted, by).withColumn("_row", F.row_number().over(order))
     ends = [F.max(F.when(F.col("which") == w, F.col("_place"))).alias(w) for w in ("train", "val")]
     return ranked.filter(F.col("_row") == F.col("_inner")).groupBy(*strata).agg(*ends)
 
@@ -125,8 +128,7 @@ def split_exact(
     wanted = _within(
         ranges.select("*", _wanted(F.col("_total") - held, F.col("_total") - test)), []
     )
-    # Two rows by construction, hence the broadcast: the key column is not shuffled.
-    ends = _rows_at(places, [], F.broadcast(wanted)).select(F.struct("train", "val")).scalar()
+    ends = _rows_at(places, [], wanted).select(F.struct("train", "val")).scalar()
     place = _place(key, seed)
     marked = df.withColumn("_ends", ends)
     return marked.withColumn(name, _side(place, F.col("_ends.train"), F.col("_ends.val"))).drop(

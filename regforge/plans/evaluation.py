@@ -1,9 +1,23 @@
 """All metrics of one set of predictions."""
 
-from pyspark.sql import DataFrame
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from regforge.operators import metrics as M
+from regforge.operators.scoring import task_of, with_task_score
+
+_SUMS = [f"{kind}_{n}" for kind in ("match", "possible") for n in M.BLEU_ORDERS] + ["pred_tokens", "ref_tokens"]
+
+
+def _sums() -> list[Column]:
+    return [F.sum(name).alias(name) for name in _SUMS]
+
+
+def _with_bleu(totals: DataFrame, orders: int = 2) -> DataFrame:
+    unused = [f"bleu_{n}" for n in M.BLEU_ORDERS if n > orders]
+    return M.with_bleu(totals).drop(*_SUMS, *unused)
 
 
 def all_metrics(
@@ -12,23 +26,78 @@ def all_metrics(
     """One wide row. All row-level scores are added in one pass over the pairs (no
     shuffle), then reduced by a single aggregation."""
     rows = df.select(F.col(prediction).alias("prediction"), F.col(reference).alias("reference"))
-    rows = M.with_exact_match(rows)
-    rows = M.with_word_f1(rows)
-    rows = M.with_lengths(rows)
-    rows = M.with_bleu_counts(rows)
-    rows = M.with_rouge_n(rows)
-    rows = M.with_rouge_l(rows)
+    steps = (M.with_exact_match, M.with_word_f1, M.with_lengths, M.with_bleu_counts, M.with_rouge_n, M.with_rouge_l)
+    rows = reduce(lambda table, step: step(table), steps, rows)
     means = {name: name for name in ("word_f1", "word_precision", "word_recall", "length_ratio",
                                      "rouge1", "rouge2", "rougeL", "rougeLsum")}
     means |= {"avg_pred_length": "pred_length", "avg_ref_length": "ref_length"}
-    sums = [f"{kind}_{n}" for kind in ("match", "possible") for n in M.BLEU_ORDERS]
     totals = rows.agg(
         F.coalesce(F.avg(F.col("exact_match").cast("int")), F.lit(0.0)).alias("exact_match"),
         F.count_if("exact_match").alias("exact_match_count"),
         *[F.avg(column).alias(name) for name, column in means.items()],
         F.stddev_pop("pred_length").alias("length_std"),
-        *[F.sum(name).alias(name) for name in [*sums, "pred_tokens", "ref_tokens"]],
+        *_sums(),
+    )
+    return _with_bleu(totals)
+
+
+def metric_report(
+    df: DataFrame,
+    prediction: str = "prediction",
+    reference: str = "reference",
+    task: str | None = None,
+    structures: DataFrame | None = None,
+    structure: str = "canonical_smiles",
+    vectors: tuple[str, str] | None = None,
+) -> DataFrame:
+    """``(metric, value, rank)`` for everything that can be computed from what is given:
+    the text metrics always, ``<task>_f1`` and ``<task>_count`` with a task column, the
+    known-structure rate with a structure dictionary, the similarity with two vector
+    columns."""
+    parts = [M.to_long(all_metrics(df, prediction, reference))]
+    if vectors is not None:
+        similar = M.with_cosine(df, *vectors)
+        parts.append(M.to_long(M.cosine_summary(similar)))
+    if structures is not None:
+        rate = M.known_structure_rate(df, structures, structure, prediction, reference)
+        found = rate.filter("valid_smiles_count > 0").drop("candidates")
+        parts.append(M.to_long(found))
+    if task is not None:
+        by_task = M.word_f1_by_task(M.with_word_f1(df, prediction, reference), task)
+        pairs = F.array(
+            F.struct(F.concat("task", F.lit("_f1")).alias("metric"), F.col("f1").alias("value")),
+            F.struct(F.concat("task", F.lit("_count")).alias("metric"), F.col("count").cast("double").alias("value")),
+        )
+        rows = by_task.select(F.inline(pairs))
+        parts.append(rows.withColumn("rank", M.metric_rank(F.col("metric"))))
+    return reduce(DataFrame.unionByName, parts)
+
+
+def evaluation_by_task(
+    df: DataFrame, prediction: str = "prediction", reference: str = "reference", task: str = "task",
+    **score_options,
+) -> DataFrame:
+    """The evaluation table: per task and overall (``is_total`` = 1) the mean task score,
+    corpus BLEU, mean ROUGE, mean lengths and the number of samples.
+
+    Row-level columns in one pass, then one rollup: the overall row is not a second
+    evaluation.
+    """
+    rows = df.select(
+        F.col(prediction).alias("prediction"),
+        F.col(reference).alias("reference"),
+        task_of(task).alias("task"),
     )
-    return M.with_bleu(totals).drop(
-        *sums, "pred_tokens", "ref_tokens", *[f"bleu_{n}" for n in M.BLEU_ORDERS[2:]]
+    rows = with_task_score(rows, **score_options)
+    steps = (M.with_bleu_counts, M.with_rouge_n, M.with_rouge_l)
+    rows = reduce(lambda table, step: step(table), steps, rows)
+    totals = rows.rollup("task").agg(
+        F.grouping("task").cast("int").alias("is_total"),
+        F.count(F.lit(1)).alias("samples"),
+        F.avg("score").alias("task_specific_accuracy"),
+        *[F.avg(name).alias(name) for name in ("rouge1", "rouge2", "rougeL", "rougeLsum")],
+        F.avg("pred_tokens").alias("avg_pred_length"),
+        F.avg("ref_tokens").alias("avg_ref_length"),
+        *_sums(),
     )
+    return _with_bleu(totals, orders=0)

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from regforge import constants as C
 from regforge.operators import metrics, scoring
-from regforge.plans.evaluation import all_metrics
+from regforge.plans.evaluation import all_metrics, evaluation_by_task, metric_report
 
 PAIRS = [
     ("The drug lowers sugar made by the liver.", "It lowers liver sugar production!", "a"),
@@ -192,7 +192,35 @@ def test_all_metrics_need_no_shuffle_but_the_last(pairs):
 def test_long_form_puts_priority_first(spark):
     wide = spark.createDataFrame([(1.0, 2.0, 3, None)], "length_std double, word_f1 double, exact_match int, bleu double")
     got = [(r["rank"], r["metric"], r["value"]) for r in metrics.to_long(wide).orderBy("rank").collect()]
-    assert got == [(1, "exact_match", 3.0), (2, "word_f1", 2.0), (4, "length_std", 1.0)]
+    assert got == [(1, "exact_match", 3.0), (2, "word_f1", 2.0), (8, "length_std", 1.0)]
+
+
+def test_report_holds_what_can_be_computed(spark, pairs):
+    vectors = pairs.withColumn("v", F.array(F.lit(1.0), F.lit(2.0)))
+    known = spark.createDataFrame([("production",)], "canonical_smiles string")
+    full = metric_report(vectors, task="task", structures=known, vectors=("v", "v"))
+    got = {r["metric"]: (r["rank"], r["value"]) for r in full.collect()}
+    assert got["semantic_similarity"] == (6, pytest.approx(1.0))
+    assert got["c_count"] == (8, 2.0) and got["unknown_f1"] == (8, 0.0)
+    assert "smiles_validity_rate" not in got  # no known candidate in a prediction
+    assert {r["metric"] for r in metric_report(pairs).collect()} < set(got)
+    shown = metric_report(pairs, prediction="reference", reference="prediction", structures=known)
+    assert {r["metric"]: r["value"] for r in shown.collect()}["valid_smiles_count"] == 1.0
+
+
+def test_evaluation_by_task_equals_single_metrics(pairs):
+    got = {(r["task"], r["is_total"]): r for r in evaluation_by_task(pairs).collect()}
+    assert set(got) == {("a", 0), ("b", 0), ("c", 0), ("unknown", 0), (None, 1)}
+    for task, total in got:
+        part = pairs if total else pairs.filter(F.coalesce("task", F.lit("unknown")) == task)
+        row = got[(task, total)]
+        assert row["bleu"] == pytest.approx(only(metrics.bleu_summary(metrics.with_bleu_counts(part)))["bleu"])
+        rouge = only(metrics.mean_summary(metrics.with_rouge_n(part), ["rouge1", "rouge2"]))
+        assert (row["rouge1"], row["rouge2"]) == (pytest.approx(rouge["rouge1"]), pytest.approx(rouge["rouge2"]))
+        assert row["task_specific_accuracy"] == pytest.approx(
+            scoring.with_task_score(part).agg(F.avg("score")).first()[0]
+        )
+    assert got[(None, 1)]["samples"] == len(PAIRS)
 
 
 # --- scores per row --------------------------------------------------------------

@@ -412,7 +412,7 @@ SELECT coalesce(task, 'unknown') AS task, round(avg(f), 6) AS f1, count(*) AS co
 FROM word_scores GROUP BY ALL"""
 
 
-def task_scores(any_word: bool) -> str:
+def task_scores(any_word: bool, source: str = "order_pairs", key: str = "o_orderkey") -> str:
     status = " OR ".join(
         f"(contains(lower(prediction), {text(w)}) AND contains(lower(reference), {text(w)}))" for w in C.STATUS_WORDS
     )
@@ -423,9 +423,9 @@ def task_scores(any_word: bool) -> str:
     return f"""
 task_words AS (
   SELECT *, list_distinct({tokens("lower(prediction)")}) AS p, list_distinct({tokens("lower(reference)")}) AS r
-  FROM order_pairs),
+  FROM {source}),
 task_scores AS (
-  SELECT o_orderkey, task, prediction, reference,
+  SELECT {key}, task, prediction, reference,
          CAST(CASE WHEN task = {text(C.TASK_STATUS)} THEN CAST(({status}) AS INTEGER) {identify}
               ELSE len(list_intersect(p, r)) / greatest(len(r), 1) END AS DOUBLE) AS score FROM task_words)"""
 
@@ -534,16 +534,31 @@ FROM found LEFT JOIN words ON c = w"""
 _GRAM_CTES = ("sides", "grams", "gram_counts", "matches")
 
 
-def _renamed(sql: str, prefix: str) -> str:
+def renamed(sql: str, prefix: str) -> str:
     """The n-gram views a second time under other names."""
     for name in sorted(_GRAM_CTES, key=len, reverse=True):
         sql = sql.replace(f"\n{name} AS", f"\n{prefix}{name} AS").replace(f"FROM {name}", f"FROM {prefix}{name}")
     return sql
 
 
+_WIDE = (
+    "exact_match", "word_f1", "bleu", "rouge1", "rougeL", "exact_match_count", "word_precision", "word_recall",
+    "length_ratio", "rouge2", "avg_pred_length", "avg_ref_length", "length_std", "bleu_1", "bleu_2",
+    "smiles_validity_rate", "valid_smiles_count", "reference_smiles_count",
+)
+_RANK = {name: i for i, name in enumerate(C.METRIC_PRIORITY, start=1)}
+_LAST = len(C.METRIC_PRIORITY) + 1
 ORACLE_SQL["metric_long"] = f"""
-WITH RECURSIVE {PAIRS}, {LENGTHS}, {word_scores("pairs")}, {WORD_TOTALS}, {BLEU}, {_renamed(ROUGE_N, "rouge_")}, {ROUGE_L},
+WITH RECURSIVE {PAIRS}, {LENGTHS}, {word_scores("pairs")}, {WORD_TOTALS}, {BLEU}, {renamed(ROUGE_N, "rouge_")}, {ROUGE_L},
 same AS (SELECT {normalized("prediction")} = {normalized("reference")} AS same FROM pairs),
+words AS (SELECT DISTINCT unnest({tokens("text")}) AS w FROM documents),
+found AS (
+  SELECT 0 AS side, unnest({candidates("prediction")}) AS c FROM pairs
+  UNION ALL SELECT 1, unnest({candidates("reference")}) FROM pairs),
+known AS (
+  SELECT count(w) FILTER (WHERE side = 0) / count(*) FILTER (WHERE side = 0) AS rate,
+         count(w) FILTER (WHERE side = 0) AS p, count(w) FILTER (WHERE side = 1) AS r
+  FROM found LEFT JOIN words ON c = w),
 wide AS (
   SELECT (SELECT avg(CAST(same AS INTEGER)) FROM same) AS exact_match,
          word_f1, (SELECT bleu FROM bleu_score) AS bleu,
@@ -551,17 +566,42 @@ wide AS (
          (SELECT count(*) FROM same WHERE same) AS exact_match_count,
          word_precision, word_recall, length_ratio, (SELECT f FROM rouge_n WHERE n = 2) AS rouge2,
          avg_pred_length, avg_ref_length, length_std,
-         (SELECT bleu_1 FROM bleu_score) AS bleu_1, (SELECT bleu_2 FROM bleu_score) AS bleu_2
-  FROM length_totals, word_totals)
+         (SELECT bleu_1 FROM bleu_score) AS bleu_1, (SELECT bleu_2 FROM bleu_score) AS bleu_2,
+         rate AS smiles_validity_rate, known.p AS valid_smiles_count, known.r AS reference_smiles_count
+  FROM length_totals, word_totals, known)
 """ + " UNION ALL ".join(
-    f"SELECT {text(name)} AS metric, round(CAST(\"{name}\" AS DOUBLE), 6) AS value, CAST({i} AS INTEGER) AS rank FROM wide"
-    for i, name in enumerate(
-        ["exact_match", "word_f1", "bleu", "rouge1", "rougeL", "exact_match_count", "word_precision",
-         "word_recall", "length_ratio", "rouge2", "avg_pred_length", "avg_ref_length", "length_std",
-         "bleu_1", "bleu_2"],
-        start=1,
-    )
-)
+    f'SELECT {text(name)} AS metric, round(CAST("{name}" AS DOUBLE), 6) AS value, '
+    f"CAST({_RANK.get(name, _LAST)} AS INTEGER) AS rank FROM wide"
+    for name in _WIDE
+) + f"""
+UNION ALL SELECT task || '_f1', round(avg(f), 6), CAST({_LAST} AS INTEGER) FROM word_scores GROUP BY task
+UNION ALL SELECT task || '_count', CAST(count(*) AS DOUBLE), CAST({_LAST} AS INTEGER) FROM word_scores GROUP BY task"""
+
+ORACLE_SQL["eval_report_by_task"] = f"""
+WITH RECURSIVE {PAIRS}, {ngram_overlap(tokens, "(1), (2), (3), (4)")}, {renamed(ngram_overlap(alphanumeric, "(1), (2)"), "rouge_")},
+{ROUGE_L}, {task_scores(False, "pairs", "id")},
+per_row AS (
+  SELECT s.id, s.task, s.score, len({tokens("s.prediction")}) AS p, len({tokens("s.reference")}) AS r,
+         coalesce((SELECT {f_measure("m.o", "m.np", "m.nr")} FROM rouge_matches m WHERE m.id = s.id AND m.n = 1), 0) AS f1,
+         coalesce((SELECT {f_measure("m.o", "m.np", "m.nr")} FROM rouge_matches m WHERE m.id = s.id AND m.n = 2), 0) AS f2
+  FROM task_scores s),
+means AS (
+  SELECT task, CAST(grouping(task) AS INTEGER) AS is_total, count(*) AS samples, avg(score) AS score,
+         avg(f1) AS f1, avg(f2) AS f2, avg(p) AS p, avg(r) AS r, sum(p) AS c, sum(r) AS w
+  FROM per_row GROUP BY ROLLUP (task)),
+lcs_means AS (SELECT task, CAST(grouping(task) AS INTEGER) AS is_total, avg(f) AS f FROM rouge_l GROUP BY ROLLUP (task)),
+precisions AS (
+  SELECT task, CAST(grouping(task) AS INTEGER) AS is_total, n, sum(o) / sum(np) AS p
+  FROM matches JOIN pairs USING (id) GROUP BY GROUPING SETS ((task, n), (n))),
+bleus AS (
+  SELECT task, is_total, CASE WHEN min(p) > 0 THEN exp(avg(ln(CASE WHEN p > 0 THEN p END))) ELSE 0 END AS g
+  FROM precisions GROUP BY ALL)
+SELECT m.task, m.is_total, m.samples, round(m.score, 6) AS task_specific_accuracy, round(m.f1, 6) AS rouge1,
+       round(m.f2, 6) AS rouge2, round(l.f, 6) AS "rougeL", round(m.p, 6) AS avg_pred_length,
+       round(m.r, 6) AS avg_ref_length,
+       round(b.g * CASE WHEN m.c > m.w THEN 1.0 ELSE exp(1.0 - m.w / m.c) END, 6) AS bleu
+FROM means m JOIN bleus b ON b.is_total = m.is_total AND b.task IS NOT DISTINCT FROM m.task
+     JOIN lcs_means l ON l.is_total = m.is_total AND l.task IS NOT DISTINCT FROM m.task"""
 
 # --- keywords and comparison -----------------------------------------------------
 _KEYWORDS = " ".join(

@@ -17,7 +17,7 @@ from regforge.functions.columns import explode_rows
 from regforge.operators import compare, enrich, instruct, metrics, names, scoring, split, topk
 from regforge.operators.generate import batch_generate
 from regforge.plans.datasets import entity_names, unified_table
-from regforge.plans.evaluation import all_metrics
+from regforge.plans.evaluation import evaluation_by_task, metric_report
 from regforge.sources import delimited, registry, structures, tables, trials
 from workloads import inputs as I
 
@@ -375,8 +375,15 @@ def smiles_pair_rate(t, spark, folder):
 
 @query
 def metric_long(t, spark, folder):
+    words = explode_rows(t("documents"), X.tokens("text"), "canonical_smiles")
+    report = metric_report(I.turn_pairs(t), task="task", structures=words)
     # The per-line variant has its own query, it has no SQL form.
-    return rounded(metrics.to_long(all_metrics(I.turn_pairs(t)).drop("rougeLsum")))
+    return rounded(report.filter("metric <> 'rougeLsum'"))
+
+
+@query
+def eval_report_by_task(t, spark, folder):
+    return rounded(evaluation_by_task(I.turn_pairs(t)).drop("rougeLsum"))
 
 
 # --- keywords and comparison -----------------------------------------------------
