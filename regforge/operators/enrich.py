@@ -9,6 +9,7 @@ from pyspark.sql import types as T
 from regforge import constants as C
 from regforge.functions.columns import blank_to_null
 from regforge.functions.text import WHITESPACE
+from regforge.operators.joins import RIGHT_KEY, splittable_join
 
 
 def one_row_per_key(df: DataFrame, key: str, order: Sequence[str]) -> DataFrame:
@@ -22,23 +23,6 @@ def one_row_per_key(df: DataFrame, key: str, order: Sequence[str]) -> DataFrame:
     )
 
 
-def left_join_many(left: DataFrame, right: DataFrame, on: str) -> DataFrame:
-    """Left join where the right side may repeat a key any number of times.
-
-    ``left.on`` must be unique. Spark can split a skewed partition of the *right* side
-    only in an inner join, and can broadcast the left side only there, so matched and
-    unmatched rows are two joins over the same partitioning of ``left``.
-    """
-    columns = [name for name in right.columns if name != on]
-    matched = left.join(right, on)
-    missing = left.join(right.select(on).distinct(), on, "left_anti")
-    return matched.unionByName(
-        missing.select(
-            *left.columns, *[F.lit(None).cast(right.schema[name].dataType).alias(name) for name in columns]
-        )
-    )
-
-
 def lookup_names(df: DataFrame, name: str, dictionary: DataFrame, key: str = "drug_name") -> DataFrame:
     """Distinct usable names with their dictionary attributes; a miss stays as a row of
     NULLs. The dictionary must hold one row per name."""
@@ -59,19 +43,13 @@ def enrich(
     get ``suffix``.
 
     With one dictionary row per key the answer equals "distinct names, look them up,
-    join back", without those two extra shuffles. Only the left side can be skewed,
-    which the adaptive skew join splits.
+    join back", without those two extra shuffles.
     """
-    clash = set(df.columns)
-    renamed = dictionary.select(
-        F.col(key).alias("_key"),
-        *[
-            F.col(c).alias(c + suffix if c in clash else c)
-            for c in dictionary.columns
-            if c != key or key != name
-        ],
-    )
-    return df.join(renamed, df[name] == renamed["_key"], "left").drop("_key")
+    attributes = [c for c in dictionary.columns if c != key]
+    names = {c: c + suffix if c in df.columns else c for c in attributes}
+    found = splittable_join(df, dictionary.withColumnsRenamed(names), name, key, "left")
+    shown = [] if key == name else [F.col(RIGHT_KEY).alias(key + suffix if key in df.columns else key)]
+    return found.select(*df.columns, *shown, *names.values())
 
 
 def update_from(
@@ -89,15 +67,15 @@ def update_from(
     """
     found = found or columns[0]
     new = dictionary.select(
-        F.col(key).alias("_key"),
+        F.col(key).alias("_dictionary_key"),
         F.col(found).isNotNull().alias("_found"),
         *[F.col(c).alias(f"_new_{c}") for c in columns],
     )
     hit = F.coalesce(F.col("_found"), F.lit(False))
-    joined = df.join(new, df[name] == new["_key"], "left")
+    joined = splittable_join(df, new, name, "_dictionary_key", "left")
     return joined.select(
         *[
-            F.when(hit, F.col(f"_new_{c}")).otherwise(df[c]).alias(c) if c in columns else df[c]
+            F.when(hit, F.col(f"_new_{c}")).otherwise(F.col(c)).alias(c) if c in columns else F.col(c)
             for c in df.columns
         ]
     )

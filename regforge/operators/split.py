@@ -85,9 +85,14 @@ def _rows_at(places: DataFrame, strata: Sequence[str], wanted: DataFrame) -> Dat
     """``_place`` of each wanted row, as columns ``train`` and ``val`` per stratum."""
     by = [*strata, "_bucket"]
     order = Window.partitionBy(*by, "which").orderBy("_place")
-    # 65,536 short names at most, hence the broadcast: rows of other ranges, nearly all,
-    # are gone before anything is shuffled.
-    near = places.join(F.broadcast(wanted.select("_bucket").distinct()), "_bucket", "left_semi")
+    if strata:
+        # 65,536 short names at most, hence the broadcast: rows of other ranges, nearly
+        # all, are gone before anything is shuffled.
+        ranges = F.broadcast(wanted.select("_bucket").distinct())
+        near = places.join(ranges, "_bucket", "left_semi")
+    else:
+        # Two rows by construction.
+        near, wanted = places, F.broadcast(wanted)
     ranked = near.join(wanted, by).withColumn("_row", F.row_number().over(order))
     ends = [F.max(F.when(F.col("which") == w, F.col("_place"))).alias(w) for w in ("train", "val")]
     return ranked.filter(F.col("_row") == F.col("_inner")).groupBy(*strata).agg(*ends)

@@ -7,8 +7,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from regforge import constants as C
-from regforge.operators.enrich import left_join_many
+from regforge.functions.columns import as_column
 from regforge.operators.instruct import classification_rows, instruction_rows
+from regforge.operators.joins import left_join_many
 from regforge.operators.names import (
     explode_names,
     name_dictionary,
@@ -66,10 +67,8 @@ def top_reactions(adverse_events: DataFrame, position: str | Column = "position"
 
 def top_reasons(failed_trials: DataFrame, names: str = "drug_names", position: str | Column = "position",
                 k: int = C.MAX_REASONS, separator: str = C.NAME_SEPARATOR) -> DataFrame:
-    rows = explode_names(
-        failed_trials, names, [F.col("why_stopped"), F.col(position).alias("position") if isinstance(position, str) else position.alias("position")],
-        separator=separator,
-    )
+    keep = ["why_stopped", as_column(position).alias("position")]
+    rows = explode_names(failed_trials, names, keep, separator=separator)
     return first_k_distinct(rows, "drug_name", "why_stopped", "position", k, value_name="failure_reason")
 
 

@@ -2,7 +2,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from regforge import constants as C
-from regforge.operators import enrich, instruct, names, topk
+from regforge.operators import enrich, instruct, joins, names, topk
 from regforge.operators.generate import batch_generate
 
 
@@ -106,7 +106,7 @@ def test_one_row_per_key(spark):
 def test_left_join_many_equals_a_left_join(spark):
     left = spark.createDataFrame([("a", 1), ("b", 2), ("c", 3)], "k string, l int")
     right = spark.createDataFrame([("a", i) for i in range(50)] + [("b", 7), (None, 8), ("z", 9)], "k string, r int")
-    assert rows_of(enrich.left_join_many(left, right, "k"), "k", "l", "r") == rows_of(left.join(right, "k", "left"), "k", "l", "r")
+    assert rows_of(joins.left_join_many(left, right, "k"), "k", "l", "r") == rows_of(left.join(right, "k", "left"), "k", "l", "r")
 
 
 def test_missing_and_coverage(spark):

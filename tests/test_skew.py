@@ -4,7 +4,7 @@ plan has a cross join or an unpartitioned step over the rows."""
 import pytest
 from pyspark.sql import functions as F
 
-from regforge.operators import enrich, instruct, metrics, names, topk
+from regforge.operators import enrich, instruct, joins, metrics, names, topk
 from workloads.queries import QUERIES
 
 
@@ -44,7 +44,7 @@ def test_hot_name_in_joins(spark, threshold):
         assert enrich.enrich(df, "name", dictionary, "name").count() == 30000
         # The hot name repeats on the right side of a left join.
         left = df.select("name").distinct().union(spark.createDataFrame([("alone",)], "name string"))
-        many = enrich.left_join_many(left, df.select("name", "position"), "name")
+        many = joins.left_join_many(left, df.select("name", "position"), "name")
         assert many.count() == 30001
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
@@ -71,3 +71,28 @@ def test_no_cross_join_in_any_query(spark, smoke_folder, name):
     plan = QUERIES[name](spark, smoke_folder)._jdf.queryExecution().executedPlan().toString()
     assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
     assert "BatchEvalPython" not in plan  # no row-at-a-time Python
+
+
+def test_adaptive_join_splits_the_hot_name_on_either_side(spark):
+    """With thresholds scaled down to the test data: the partition of the hot name is
+    split in the look-up join (left side) and in the fan-out join (right side)."""
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "20k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "20k",
+    }
+    before = {key: spark.conf.get(key, None) for key in settings}
+    for key, value in settings.items():
+        spark.conf.set(key, value)
+    try:
+        df = hot(spark, 200000).repartition(16)
+        dictionary = df.groupBy("name").agg(F.min("position").alias("cid"))
+        left = df.select("name").distinct()
+        for joined in (enrich.enrich(df, "name", dictionary, "name"), joins.left_join_many(left, df, "name")):
+            assert len(joined.collect()) == 200000
+            assert "skew=true" in joined._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for key, value in before.items():
+            spark.conf.unset(key) if value is None else spark.conf.set(key, value)
