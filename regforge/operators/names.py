@@ -16,10 +16,17 @@ def explode_names(
     names: str | Column,
     keep: Sequence[str | Column] = (),
     name: str = "drug_name",
-    separator: str = C.NAME_SEPARATOR,
+    separator: str | None = C.NAME_SEPARATOR,
 ) -> DataFrame:
-    """One row per name in a delimited list column; blanks dropped, names trimmed."""
-    return explode_rows(df, split_names(names, separator), name, keep)
+    """One row per name in a name list; blanks dropped, names trimmed.
+
+    ``separator=None`` means the column already is an array, so that names which contain
+    the separator stay whole.
+    """
+    if separator is not None:
+        return explode_rows(df, split_names(names, separator), name, keep)
+    rows = explode_rows(df, names, "_name", keep).withColumn(name, blank_to_null("_name", trim=True))
+    return rows.drop("_name").filter(F.col(name).isNotNull())
 
 
 def names_from_columns(
@@ -50,18 +57,13 @@ def names_from_lists(
     position: str | Column,
     separator: str | None = C.NAME_SEPARATOR,
 ) -> DataFrame:
-    """Names of a table with a name list per row and its own status. ``separator=None``
-    means the column already is an array. ``position`` (long) is the row order."""
-    array = as_column(names) if separator is None else split_names(names, separator)
-    rows = explode_rows(
-        df,
-        array,
-        "drug_name",
-        [
-            as_column(status).cast("string").alias("status"),
-            as_column(position).cast("long").alias("position"),
-        ],
-    )
+    """Names of a table with a name list per row (see ``explode_names``) and its own
+    status. ``position`` (long) is the row order."""
+    keep = [
+        as_column(status).cast("string").alias("status"),
+        as_column(position).cast("long").alias("position"),
+    ]
+    rows = explode_names(df, names, keep, separator=separator)
     return rows.select("drug_name", F.lit(source).alias("source"), "status", "position")
 
 

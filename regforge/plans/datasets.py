@@ -65,25 +65,37 @@ def top_reactions(adverse_events: DataFrame, position: str | Column = "position"
     )
 
 
-def top_reasons(failed_trials: DataFrame, names: str = "drug_names", position: str | Column = "position",
-                k: int = C.MAX_REASONS, separator: str = C.NAME_SEPARATOR) -> DataFrame:
+def top_reasons(failed_trials: DataFrame, names: str | Column = "drug_names", position: str | Column = "position",
+                k: int = C.MAX_REASONS, separator: str | None = C.NAME_SEPARATOR) -> DataFrame:
     keep = ["why_stopped", as_column(position).alias("position")]
     rows = explode_names(failed_trials, names, keep, separator=separator)
     return first_k_distinct(rows, "drug_name", "why_stopped", "position", k, value_name="failure_reason")
 
 
-def unified_table(extracts: Extracts, **name_options) -> DataFrame:
+def unified_table(
+    extracts: Extracts,
+    names: str | Column = "drug_names",
+    separator: str | None = C.NAME_SEPARATOR,
+    position: str | Column = "position",
+    **listing_options,
+) -> DataFrame:
     """One row per entity name (more where the structure table repeats it).
 
+    ``names``, ``separator`` and ``position`` describe the trial tables, e.g.
+    ``names="drug_name_list", separator=None`` for name arrays.
+
     Every input is aggregated by name before it is joined, so the joins share one
     partitioning by name; the structure join, the only one that can multiply rows,
     comes last.
     """
-    unified = entity_names(extracts, **name_options)
+    unified = entity_names(
+        extracts, names=names, separator=separator, position=position, **listing_options
+    )
     if extracts.adverse_events is not None:
         unified = unified.join(top_reactions(extracts.adverse_events), "drug_name", "left")
     if extracts.failed_trials is not None:
-        unified = unified.join(top_reasons(extracts.failed_trials), "drug_name", "left")
+        reasons = top_reasons(extracts.failed_trials, names, position, separator=separator)
+        unified = unified.join(reasons, "drug_name", "left")
     if extracts.structures is not None:
         unified = left_join_many(unified, extracts.structures, "drug_name")
     return unified
@@ -97,13 +109,13 @@ class Datasets:
     stats: DataFrame
 
 
-def build_datasets(extracts: Extracts, split_key: str = "sample", **name_options) -> Datasets:
+def build_datasets(extracts: Extracts, split_key: str = "sample", **options) -> Datasets:
     """All products of the pipeline, each instruction and classification row with its
     ``split``. The unified table and both row sets are read several times, hence staged.
 
     ``split_key='sample'`` splits rows; ``'drug_name'`` keeps an entity on one side.
     """
-    unified = staged(unified_table(extracts, **name_options))
+    unified = staged(unified_table(extracts, **options))
     rows = instruction_rows(unified, keep=["drug_name"])
     sample = F.sha2(F.concat_ws("\u0001", "task", "instruction", "input", "output"), 256)
     instructions = staged(rows.withColumn("sample", sample))

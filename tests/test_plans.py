@@ -3,11 +3,13 @@ from collections import Counter
 
 import pytest
 
-from regforge import sinks
+from regforge import schemas, sinks
+from regforge.functions.columns import packed_position
 from regforge.operators import scoring
 from regforge.operators.split import split_counts
 from regforge.plans.datasets import Extracts, build_datasets, unified_table
 from regforge.plans.stages import staged
+from regforge.sources import delimited, registry, trials
 
 
 @pytest.fixture
@@ -103,3 +105,47 @@ def test_stage_uses_the_folder_of_the_session(spark):
     assert df.count() == 5 and spark.sparkContext.getCheckpointDir()
     assert "Exchange" not in df._jdf.queryExecution().executedPlan().toString()
     assert split_counts(df.selectExpr("'x' split"), "d").first()["rows"] == 5
+
+
+def test_from_landed_files_to_written_data(spark, tmp_path):
+    """The steps of the README, on files."""
+    landing = tmp_path / "landing"
+    for folder in ("registry/unpacked", "labels", "trials", "events"):
+        (landing / folder).mkdir(parents=True)
+    (landing / "registry/unpacked/products.txt").write_bytes("Ingredient~Trade_Name\nAlpha~Alpha Plus\nBeta~\n".encode("latin-1"))
+    (landing / "labels/1.json").write_text(json.dumps({"results": [{"openfda": {"brand_name": ["Alpha"], "generic_name": []}}]}, indent=1))
+
+    def study(status, reason, *drugs):
+        return {"protocolSection": {
+            "statusModule": {"overallStatus": status, "whyStopped": reason},
+            "armsInterventionsModule": {"interventions": [{"type": "DRUG", "name": d} for d in drugs]},
+        }}
+
+    # Page 10 comes after page 2, whatever the file listing says.
+    (landing / "trials/page10.json").write_text(json.dumps({"studies": [study("COMPLETED", "", "Gamma")]}, indent=1))
+    (landing / "trials/page2.json").write_text(
+        json.dumps({"studies": [study("SUSPENDED", "late", "Gamma", "Delta, salt"), study("TERMINATED", "cost", "Delta, salt")]}, indent=1)
+    )
+    pages = registry.read_pages(spark, str(landing / "trials"), schemas.TRIAL_PAGE).selectExpr(
+        "cast(regexp_extract(_metadata.file_name, '([0-9]+)', 1) as long) AS page", "studies"
+    )
+    studies = trials.flatten_trials(pages, keep=["page"], position="place", arrays=True)
+    studies = studies.withColumn("position", packed_position("page", "place"))
+    extracts = Extracts(
+        registry=delimited.read_products(spark, str(landing / "registry")),
+        labels=registry.flatten_labels(registry.read_pages(spark, str(landing / "labels"), schemas.LABEL_PAGE)),
+        trials=studies,
+        failed_trials=trials.failed_trials(studies),
+    )
+    rows = {r["drug_name"]: r for r in unified_table(extracts, names="drug_name_list", separator=None).collect()}
+    assert set(rows) == {"Alpha", "Alpha Plus", "Beta", "Gamma", "Delta, salt"}
+    assert rows["Alpha"]["source"] == "fda_orange_book, openfda_labels"
+    assert (rows["Gamma"]["status"], rows["Gamma"]["failure_reason"]) == ("SUSPENDED", "late")
+    assert rows["Delta, salt"]["failure_reason"] == "late; cost"
+    cut = {r["drug_name"] for r in unified_table(extracts).collect()}
+    assert {"Delta", "salt"} < cut and "Delta, salt" not in cut
+
+    done = build_datasets(extracts, names="drug_name_list", separator=None)
+    sinks.write_jsonl(done.instructions, str(tmp_path / "out"))
+    back = spark.read.json(str(tmp_path / "out"))
+    assert back.count() == 3 + 2 * 2  # one status row each, a failure row for two
