@@ -42,13 +42,6 @@ def alphanumeric_tokens(text: str | Column) -> Column:
     )
 
 
-def split_names(text: str | Column, separator: str = C.NAME_SEPARATOR) -> Column:
-    """Delimited list to array: split, trim, drop blanks."""
-    # The separator is matched literally.
-    parts = F.split(as_column(text), "\\Q" + separator + "\\E")
-    return F.filter(F.transform(parts, lambda name: F.trim(name)), lambda name: name != "")
-
-
 def structure_candidates(
     text: str | Column,
     pattern: str = C.STRUCTURE_PATTERN,

@@ -8,7 +8,6 @@ from pyspark.sql import functions as F
 
 from regforge import constants as C
 from regforge.functions.columns import as_column, blank_to_null, explode_rows
-from regforge.functions.text import split_names
 
 
 def explode_names(
@@ -18,14 +17,15 @@ def explode_names(
     name: str = "drug_name",
     separator: str | None = C.NAME_SEPARATOR,
 ) -> DataFrame:
-    """One row per name in a name list; blanks dropped, names trimmed.
+    """One row per name in a delimited list column; names trimmed, blanks dropped.
 
     ``separator=None`` means the column already is an array, so that names which contain
-    the separator stay whole.
+    the separator stay whole. Trimming and dropping come after the explode, where they
+    are generated code instead of interpreted array lambdas.
     """
-    if separator is not None:
-        return explode_rows(df, split_names(names, separator), name, keep)
-    rows = explode_rows(df, names, "_name", keep).withColumn(name, blank_to_null("_name", trim=True))
+    # The separator is matched literally.
+    array = as_column(names) if separator is None else F.split(as_column(names), f"\\Q{separator}\\E")
+    rows = explode_rows(df, array, "_name", keep).withColumn(name, blank_to_null("_name", trim=True))
     return rows.drop("_name").filter(F.col(name).isNotNull())
 
 

@@ -12,6 +12,7 @@ ordered. The data itself is never sorted and, for the unstratified split, never
 shuffled.
 """
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
@@ -37,6 +38,13 @@ def _place(key: str | Column, seed: int) -> Column:
     return F.struct(split_hash_value(key, seed).alias("hash"), _text(key).alias("key"))
 
 
+def _hash_limit(share: float) -> str:
+    """First 8-digit hash prefix beyond ``share`` of the hash space. Equal-length
+    lower-case hex compares like the number it stands for."""
+    limit = math.ceil(share * 2**32)
+    return f"{limit:08x}" if limit < 2**32 else "g"  # beyond every digit
+
+
 def split_by_hash(
     df: DataFrame,
     key: str | Column,
@@ -48,8 +56,7 @@ def split_by_hash(
     """Independent per row; sizes are right on average. Narrow: no shuffle, and a row
     keeps its side when other rows come or go."""
     prefix = F.substring(split_hash_value(key, seed), 1, 8)
-    # Equal-length lower-case hex compares like the number it stands for.
-    first, second = (f"{round(share * 2**32):08x}" for share in (train, train + validation))
+    first, second = _hash_limit(train), _hash_limit(train + validation)
     side = F.when(prefix < first, "train").when(prefix < second, "val").otherwise("test")
     return df.withColumn(name, side)
 

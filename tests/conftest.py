@@ -11,7 +11,7 @@ from regforge.session import local_session  # noqa: E402
 
 @pytest.fixture(scope="session")
 def spark():
-    session = local_session(shuffle_partitions=8)
+    session = local_session(shuffle_partitions=4)
     yield session
     session.stop()
 

@@ -41,11 +41,6 @@ def test_folded_trims_all_whitespace(spark):
     assert one_column(spark, values, X.folded("t")) == ["a b", "x", ""]
 
 
-def test_split_names_keeps_digits_and_drops_blanks(spark):
-    values = ["drug 10, drug 20,  , x ", "", None, "a,b"]
-    assert one_column(spark, values, X.split_names("t")) == [["drug 10", "drug 20", "x"], [], None, ["a,b"]]
-
-
 def test_structure_candidates(spark):
     found = one_column(spark, ["see CC(=O)OC1=CC=CC=C1 or CCO, again"], X.structure_candidates("t"))
     assert found == [["CC(=O)OC1=CC=CC=C1"]]

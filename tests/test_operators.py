@@ -44,6 +44,15 @@ def test_source_order_decides_not_alphabet(spark):
     assert ("Alpha", "reg, tri", "WITHDRAWN") in got
 
 
+def test_explode_names_keeps_digits_and_drops_blanks(spark):
+    df = spark.createDataFrame([(1, "drug 10, drug 20,  , x "), (2, ""), (3, None), (4, "a,b")], "id int, l string")
+    assert rows_of(names.explode_names(df, "l", ["id"]), "id", "drug_name") == [
+        (1, "drug 10"), (1, "drug 20"), (1, "x"), (4, "a,b"),
+    ]
+    piped = names.explode_names(df.selectExpr("replace(l, ', ', '|') l"), "l", name="n", separator="|")
+    assert rows_of(piped, "n") == [("a,b",), ("drug 10",), ("drug 20",), ("x",)]
+
+
 def test_names_with_a_separator_survive_as_arrays(spark):
     df = spark.createDataFrame([(1, ["a, b", " "], "S")], "position long, l array<string>, status string")
     listed = names.names_from_lists(df, "l", "tri", "status", "position", separator=None)

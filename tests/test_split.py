@@ -65,6 +65,13 @@ def test_hash_split_is_stable_and_roughly_right(spark):
     assert abs(counts["train"] - 4000) < 150 and abs(counts["val"] - 500) < 100
 
 
+def test_hash_split_limits(spark):
+    assert split._hash_limit(0.5) == "80000000" and split._hash_limit(1.0) == "g" and split._hash_limit(0.0) == "00000000"
+    df = frame(spark, 200)
+    assert set(sides(split.split_by_hash(df, "key", 1.0, 0.0)).values()) == {"train"}
+    assert set(sides(split.split_by_hash(df, "key", 0.0, 1.0)).values()) == {"val"}
+
+
 def test_other_seed_other_split(spark):
     df = frame(spark, 500)
     assert sides(split.split_exact(df, "key")) != sides(split.split_exact(df, "key", seed=7))
