@@ -6,6 +6,8 @@ operations (Hyyrö's bit-parallel recurrence). Helpers are nested so that execut
 need nothing but pandas to run it.
 """
 
+from collections.abc import Iterator
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -24,28 +26,29 @@ def subsequence_counts(prediction: str | Column, reference: str | Column) -> Col
     counts clipped) and both token counts."""
     import pandas as pd
 
-    def rows_of(ref: list, pred: list) -> list:
+    def table_rows(ref: list, pred: list) -> Iterator[int]:
         """Bit rows of the table: in row i, bit j is 0 where the value grows at j."""
         where: dict = {}
         for j, token in enumerate(pred):
             where[token] = where.get(token, 0) | (1 << j)
         full = (1 << len(pred)) - 1
-        state, rows = full, [full]
+        state = full
+        yield state
         for token in ref:
             hit = state & where.get(token, 0)
             state = ((state + hit) | (state - hit)) & full
-            rows.append(state)
-        return rows
+            yield state
 
     def length(ref: list, pred: list) -> int:
-        return len(pred) - rows_of(ref, pred)[-1].bit_count() if ref and pred else 0
+        state = 0
+        for state in table_rows(ref, pred):  # only the last row is kept
+            pass
+        return len(pred) - state.bit_count()
 
     def positions(ref: list, pred: list) -> list:
         """Reference positions of one longest common subsequence; where the table
         allows both steps the reference position is skipped first."""
-        if not set(ref) & set(pred):
-            return []
-        rows = rows_of(ref, pred)
+        rows = list(table_rows(ref, pred))
         i, j, found = len(ref), len(pred), []
 
         def value(i: int, j: int) -> int:
@@ -68,12 +71,15 @@ def subsequence_counts(prediction: str | Column, reference: str | Column) -> Col
             for line in lines:
                 for token in line:
                     left[token] = left.get(token, 0) + 1
-        candidates = [list(line) for line in dict.fromkeys(map(tuple, pred_lines))]
+        # Equal candidate lines hit the same positions.
+        candidates = [(line, set(line)) for line in dict.fromkeys(map(tuple, pred_lines))]
         hits = 0
         for line in ref_lines:
+            words = set(line)
             union: set = set()
-            for candidate in candidates:
-                union.update(positions(line, candidate))
+            for candidate, candidate_words in candidates:
+                if not words.isdisjoint(candidate_words):
+                    union.update(positions(line, candidate))
             for i in sorted(union):
                 token = line[i]
                 if left_ref.get(token, 0) and left_pred.get(token, 0):
