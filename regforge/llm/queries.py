@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from regforge.llm.common import table
 from regforge.llm.exact_dedup import exact_dedup
+from regforge.llm.near_dedup import near_duplicates
 from regforge.llm.sharding import kd_shards
 
 
@@ -15,10 +16,14 @@ def op3_kd_sharding(spark: SparkSession, folder: str) -> DataFrame:
     return kd_shards(table(spark, folder, "documents"))
 
 
+def op5_minhash_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return near_duplicates(table(spark, folder, "documents"))
+
+
 def op6_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return exact_dedup(table(spark, folder, "documents"))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op3_kd_sharding, op6_exact_dedup)
+    f.__name__: f for f in (op3_kd_sharding, op5_minhash_near_dedup, op6_exact_dedup)
 }
