@@ -7,15 +7,27 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from regforge.llm.common import table
+from regforge.llm.decontaminate import contaminated_documents
 from regforge.llm.exact_dedup import exact_dedup
+from regforge.llm.mixing import mix
 from regforge.llm.near_dedup import near_duplicates
 from regforge.llm.sharding import kd_shards
+from regforge.llm.toxicity import toxicity
+from regforge.llm.url_filter import judge_urls
+
+
+def op1_url_language_models(spark: SparkSession, folder: str) -> DataFrame:
+    return judge_urls(table(spark, folder, "pages"))
 
 
 def op3_kd_sharding(spark: SparkSession, folder: str) -> DataFrame:
     return kd_shards(table(spark, folder, "documents"))
 
 
+def op4_noisy_channel_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    return toxicity(table(spark, folder, "documents"), table(spark, folder, "labels"))
+
+
 def op5_minhash_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return near_duplicates(table(spark, folder, "documents"))
 
@@ -24,6 +36,23 @@ def op6_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return exact_dedup(table(spark, folder, "documents"))
 
 
+def op7_template_decontamination(spark: SparkSession, folder: str) -> DataFrame:
+    return contaminated_documents(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+
+
+def op8_pareto_mixing(spark: SparkSession, folder: str) -> DataFrame:
+    return mix(table(spark, folder, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op3_kd_sharding, op5_minhash_near_dedup, op6_exact_dedup)
+    f.__name__: f
+    for f in (
+        op1_url_language_models,
+        op3_kd_sharding,
+        op4_noisy_channel_toxicity,
+        op5_minhash_near_dedup,
+        op6_exact_dedup,
+        op7_template_decontamination,
+        op8_pareto_mixing,
+    )
 }
