@@ -7,9 +7,9 @@ Within a source each document has a preference that falls gently with its length
 eighths. The expected number of copies is preference times a factor of the source, at most
 ``most``; the factor makes the expected words equal the target. The whole part of it is
 taken for certain. For the fraction p a document draws a uniform number u from its id and
-is ranked by its odds over the odds of inclusion, u / (1 - u) / (p / (1 - p)); documents
-are taken by rank until the words that are left of the target are reached. The size of the
-sample is fixed, its inclusion probabilities are the fractions.
+is ranked by its odds over the odds of inclusion, u / (1 - u) / (p / (1 - p)); documents are
+taken by rank until the words that are left of the target are reached, the last one in part. The
+size of the sample is fixed, its inclusion probabilities are the fractions.
 
 The rank at which a source stops is found by two histograms of the ranking value and an
 ordering of one cell of the second; no window holds a source. What the mix takes is then a
@@ -83,7 +83,8 @@ def _ranked(rows: DataFrame, most: float) -> DataFrame:
 
 
 def _cut(rows: DataFrame, goals: DataFrame) -> DataFrame:
-    """(absent, origin, rank, id): the last row of each source that the sample takes."""
+    """(absent, origin, last, cell): the last row that the sample takes of each source, with
+    the number of words it still has room for, and the open cell it lies in."""
     sampled = rows.filter("rank is not null and size > 0").join(goals, list(KEY))
     sampled = sampled.select(*KEY, "doc_id", "size", "rank", "goal", F.lit(0).alias("cell"), F.lit(0.0).alias("before"))
     for depth in (1, 2):
@@ -97,9 +98,9 @@ def _cut(rows: DataFrame, goals: DataFrame) -> DataFrame:
         sampled = staged(sampled.drop("cell", "before").withColumn("cell", cell).join(open_, [*KEY, "cell"]), "mix-cell")
     order = Window.partitionBy(*KEY).orderBy("rank", "doc_id").rowsBetween(Window.unboundedPreceding, 0)
     upto = F.col("before") + F.sum("size").over(order)
-    taken = sampled.withColumn("upto", upto).withColumn("taken", F.col("upto") - F.col("size") / 2 <= F.col("goal"))
-    last = F.max(F.when(F.col("taken"), F.struct("rank", F.coalesce("doc_id", F.lit(-(1 << 63))).alias("id"))))
-    return taken.groupBy(*KEY).agg(last.alias("last"), F.max("cell").alias("cell"))
+    sampled = sampled.withColumn("room", F.round(F.col("goal") - (upto - F.col("size"))).cast("long")).filter("room > 0")
+    last = F.struct("rank", F.coalesce("doc_id", F.lit(-(1 << 63))).alias("id"), F.least("room", "size").alias("words"))
+    return sampled.groupBy(*KEY).agg(F.max(last).alias("last"), F.max("cell").alias("cell"))
 
 
 def mixing_plan(docs: DataFrame, share: float = 1.5, most: float = 2.0, weights: tuple[int, ...] = WEIGHTS) -> tuple[DataFrame, DataFrame]:
@@ -117,28 +118,23 @@ def mixing_plan(docs: DataFrame, share: float = 1.5, most: float = 2.0, weights:
     plan = goal.join(_cut(ranked, left), list(KEY), "left")
     # Cells end at multiples of one width: a row before the open cell is taken, one of it is compared.
     width = 1.0 / BINS**2
-    plan = plan.select(*KEY, "source_size", "target", "factor", (F.col("cell") * width).alias("floor"), F.col("last.rank").alias("cut"), F.col("last.id").alias("cut_id"))
+    plan = plan.select(*KEY, "source_size", "target", "factor", (F.col("cell") * width).alias("floor"), F.col("last.rank").alias("cut"), F.col("last.id").alias("cut_id"), F.col("last.words").alias("cut_words"))
     return rows, staged(plan, "mix-plan")
 
 
 def taken_copies(rows: DataFrame, plan: DataFrame, most: float = 2.0) -> DataFrame:
-    """``rows`` (doc_id, absent, origin, size, ...) with the plan of their source and ``times``."""
+    """``rows`` (doc_id, absent, origin, size, ...) with ``whole`` copies and sampled ``words``."""
     ranked = _ranked(rows.join(plan, list(KEY)), most)
-    id_ = F.coalesce("doc_id", F.lit(-(1 << 63)))
-    picked = (
-        F.col("floor").isNull()
-        | (F.col("rank") < F.col("floor"))
-        | (F.col("rank") < F.col("cut"))
-        | ((F.col("rank") == F.col("cut")) & (id_ <= F.col("cut_id")))
-    )
-    picked = F.coalesce(picked & F.col("rank").isNotNull() & (F.col("size") > 0), F.lit(False))
-    return ranked.withColumn("times", F.when(F.col("size") > 0, F.col("whole") + picked.cast("long")).otherwise(0).cast("long"))
+    place, cut = F.struct("rank", F.coalesce("doc_id", F.lit(-(1 << 63))).alias("id")), F.struct(F.col("cut").alias("rank"), F.col("cut_id").alias("id"))
+    before = F.col("floor").isNull() | (F.col("rank") < F.col("floor")) | (F.col("cut").isNotNull() & (place < cut))
+    words = F.when(F.col("rank").isNull() | (F.col("size") == 0), 0).when(before, F.col("size")).when(place == cut, F.col("cut_words")).otherwise(0)
+    return ranked.withColumn("words", words.cast("long"))
 
 
 def mix(docs: DataFrame, share: float = 1.5, most: float = 2.0) -> DataFrame:
     """doc_id, size, source_size, target and taken (words) per row."""
     rows, plan = mixing_plan(docs, share, most)
-    return taken_copies(rows, plan, most).select("doc_id", "size", "source_size", "target", (F.col("times") * F.col("size")).alias("taken"))
+    return taken_copies(rows, plan, most).select("doc_id", "size", "source_size", "target", (F.col("whole") * F.col("size") + F.col("words")).cast("long").alias("taken"))
 
 
 def mixed_documents(docs: DataFrame, share: float = 1.5, most: float = 2.0) -> DataFrame:
@@ -147,5 +143,7 @@ def mixed_documents(docs: DataFrame, share: float = 1.5, most: float = 2.0) -> D
     keyed = docs.select(
         F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.col("doc_id").cast("long").alias("doc_id"), *_key(docs), word_count(text_of()).alias("size")
     )
-    took = taken_copies(keyed, plan, most).filter("times > 0")
+    # The one document that is sampled in part comes whole if at least half of it fits.
+    times = F.when(F.col("size") > 0, F.col("whole") + (F.col("words") * 2 >= F.col("size")).cast("long")).otherwise(0).cast("long")
+    took = taken_copies(keyed, plan, most).withColumn("times", times).filter("times > 0")
     return took.select("row", F.explode(F.sequence(F.lit(1).cast("long"), "times"))).select("row.*")
