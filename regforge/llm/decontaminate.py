@@ -19,6 +19,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from regforge.functions.columns import bind, explode_rows
 from regforge.llm.common import staged, text_of
 
 WINDOW = 8
@@ -53,17 +54,17 @@ def template_hashes(words: Column) -> Column:
 
 def windows(hashes: Column, size: int = WINDOW) -> Column:
     """One hash per window of ``size`` words, in order; one for all words if there are fewer."""
-    count = F.size(hashes)
-    full = F.transform(
-        F.sequence(F.lit(0), F.greatest(count - size, F.lit(0))),
-        lambda i: F.xxhash64(*[F.get(hashes, i + k) for k in range(size)]),
-    )
-    return F.when(count > 0, full).otherwise(F.array().cast("array<bigint>"))
+    def all_windows(h: Column) -> Column:
+        starts = F.sequence(F.lit(0), F.greatest(F.size(h) - size, F.lit(0)))
+        full = F.transform(starts, lambda i: F.xxhash64(*[F.get(h, i + k) for k in range(size)]))
+        return F.when(F.size(h) > 0, full).otherwise(F.array().cast("array<bigint>"))
+
+    return bind(hashes, all_windows)
 
 
 def shape(slots: Column) -> Column:
     """Where each slot's value comes first: equal for two windows with consistent slots."""
-    return F.transform(slots, lambda s: F.array_position(slots, s))
+    return bind(slots, lambda all_: F.transform(all_, lambda s: F.array_position(all_, s)))
 
 
 def _parts(words: Column, at: Column) -> dict[str, Column]:
@@ -76,7 +77,7 @@ def contaminated_documents(docs: DataFrame, benchmark: DataFrame, cover: float =
     """doc_id, item_id, matched and windows (of the item) for each contaminated pair."""
     items = benchmark.select(F.col("item_id"), F.coalesce(F.col("text"), F.lit("")).alias("text"))
     items = items.withColumn("words", canonical_words(F.col("text")))
-    places = items.select("item_id", "words", F.posexplode(windows(template_hashes(F.col("words")))).alias("item_at", "window"))
+    places = explode_rows(items, windows(template_hashes(F.col("words"))), "window", keep=["item_id", "words"], position="item_at")
     part = _parts(F.col("words"), F.col("item_at"))
     wanted = staged(places.select("item_id", "item_at", "window", *[v.alias(f"item_{k}") for k, v in part.items()]), "item-windows")
     total = wanted.groupBy("item_id").agg(F.countDistinct("window").alias("windows"))
@@ -84,7 +85,7 @@ def contaminated_documents(docs: DataFrame, benchmark: DataFrame, cover: float =
     if keys.count() <= BROADCAST_ROWS:
         keys = F.broadcast(keys)
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_of().alias("text"), F.xxhash64(text_of()).alias("copy"))
-    found = texts.select("doc_id", "copy", F.posexplode(windows(template_hashes(canonical_words(F.col("text"))))).alias("at", "window"))
+    found = explode_rows(texts, windows(template_hashes(canonical_words(F.col("text")))), "window", keep=["doc_id", "copy"], position="at")
     found = staged(found.join(keys, "window"), "doc-windows")
     # Only the texts with a match are read again, for the values of their slots.
     matched = found.select("doc_id", "copy").distinct()

@@ -22,6 +22,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from regforge.functions.columns import bind, explode_rows
 from regforge.llm.common import staged
 
 ORDER = 5
@@ -59,12 +60,12 @@ def ruling(host: Column, path: Column, rules: Sequence[tuple[str, str, str]]) ->
 def grams(text: Column, order: int = ORDER) -> Column:
     """One gram per character and one for the end: the character after its context."""
     padded = F.concat(F.lit(START * (order - 1)), text, F.lit(END))
-    return F.transform(F.sequence(F.lit(1), F.length(text) + 1), lambda i: F.substring(padded, i, F.lit(order)))
+    return bind(padded, lambda p: F.transform(F.sequence(F.lit(1), F.length(p) - order + 1), lambda i: F.substring(p, i, F.lit(order))))
 
 
 def gram_counts(examples: DataFrame, order: int = ORDER) -> DataFrame:
     """(gram, yes, no): counts in accepted and in rejected texts (``text``, ``accepted``)."""
-    rows = examples.select("accepted", F.explode(grams(F.col("text"), order)).alias("gram"))
+    rows = explode_rows(examples, grams(F.col("text"), order), "gram", keep=["accepted"])
     return rows.groupBy("gram").agg(F.sum(F.col("accepted").cast("long")).alias("yes"), F.sum((~F.col("accepted")).cast("long")).alias("no"))
 
 
@@ -115,7 +116,7 @@ def judge_urls(pages: DataFrame, rules: Sequence[tuple[str, str, str]] = RULES,
     kept = F.pmod(F.xxhash64("text", F.lit("calibration")), F.lit(5)) == 0
     counts = staged(gram_counts(known.filter(~kept)), "url-counts")
     texts = rows.select("text").union(known.filter(kept).select("text")).distinct()
-    places = texts.select("text", F.explode(grams(F.col("text"))).alias("gram"))
+    places = explode_rows(texts, grams(F.col("text")), "gram", keep=["text"])
     gains = staged(gram_scores(places.select("gram").distinct(), counts), "url-grams")
     scores = staged(places.join(gains, "gram").groupBy("text").agg(F.avg("gain").alias("score")), "url-scores")
     cut = threshold(known.filter(kept).join(scores, "text"))
