@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from regforge.llm.common import table
 from regforge.llm.decontaminate import contaminated_documents
 from regforge.llm.exact_dedup import exact_dedup
+from regforge.llm.language_model import score_held_out
 from regforge.llm.mixing import mix
 from regforge.llm.near_dedup import near_duplicates
 from regforge.llm.sharding import kd_shards
@@ -44,6 +45,10 @@ def op8_pareto_mixing(spark: SparkSession, folder: str) -> DataFrame:
     return mix(table(spark, folder, "documents"))
 
 
+def op9_kneser_ney(spark: SparkSession, folder: str) -> DataFrame:
+    return score_held_out(table(spark, folder, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
@@ -54,5 +59,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op6_exact_dedup,
         op7_template_decontamination,
         op8_pareto_mixing,
+        op9_kneser_ney,
     )
 }
