@@ -12,6 +12,7 @@ from regforge.llm.exact_dedup import exact_dedup
 from regforge.llm.language_model import score_held_out
 from regforge.llm.mixing import mix
 from regforge.llm.near_dedup import near_duplicates
+from regforge.llm.quality import quality
 from regforge.llm.sharding import kd_shards
 from regforge.llm.toxicity import toxicity
 from regforge.llm.url_filter import judge_urls
@@ -21,6 +22,10 @@ def op1_url_language_models(spark: SparkSession, folder: str) -> DataFrame:
     return judge_urls(table(spark, folder, "pages"))
 
 
+def op2_additive_quality(spark: SparkSession, folder: str) -> DataFrame:
+    return quality(table(spark, folder, "documents"), table(spark, folder, "labels"))
+
+
 def op3_kd_sharding(spark: SparkSession, folder: str) -> DataFrame:
     return kd_shards(table(spark, folder, "documents"))
 
@@ -53,6 +58,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         op1_url_language_models,
+        op2_additive_quality,
         op3_kd_sharding,
         op4_noisy_channel_toxicity,
         op5_minhash_near_dedup,
