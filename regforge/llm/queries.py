@@ -15,6 +15,7 @@ from regforge.llm.near_dedup import near_duplicates
 from regforge.llm.quality import quality
 from regforge.llm.sharding import kd_shards
 from regforge.llm.toxicity import toxicity
+from regforge.llm.transcripts import parse_conversations
 from regforge.llm.url_filter import judge_urls
 
 
@@ -54,6 +55,10 @@ def op9_kneser_ney(spark: SparkSession, folder: str) -> DataFrame:
     return score_held_out(table(spark, folder, "documents"))
 
 
+def op10_transcript_parsing(spark: SparkSession, folder: str) -> DataFrame:
+    return parse_conversations(table(spark, folder, "conversations"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
@@ -66,5 +71,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op7_template_decontamination,
         op8_pareto_mixing,
         op9_kneser_ney,
+        op10_transcript_parsing,
     )
 }
