@@ -2,7 +2,34 @@
 
 BLANKS = r"[\x20\x09-\x0D]"
 
+UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+
 ORACLE_SQL: dict[str, str] = {
+    "op5_minhash_near_dedup": rf"""
+with recursive words as (
+  select doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''), '{UPPER}', '{LOWER}'), '{BLANKS}+'), lambda x: x <> '') w
+  from documents
+),
+shingles as (
+  select distinct doc_id, unnest(case when len(w) = 0 then [] when len(w) < 5 then [array_to_string(w, ' ')]
+    else list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' ')) end) s
+  from words
+),
+sizes as (select doc_id, count(s) n from words left join shingles using (doc_id) group by doc_id),
+common as (
+  select a.doc_id a, b.doc_id b, count(*) c from shingles a join shingles b on a.s = b.s and a.doc_id <> b.doc_id group by all
+),
+links as (
+  select a, b from common join sizes x on x.doc_id = a join sizes y on y.doc_id = b where 100 * c >= 85 * (x.n + y.n - c)
+),
+reach(doc_id, root) as (
+  select doc_id, doc_id from sizes
+  union
+  select b, root from reach join links on a = doc_id
+)
+select doc_id, n n_shingles, component_id, doc_id = component_id kept
+from sizes join (select doc_id, min(root) component_id from reach group by doc_id) using (doc_id)
+""",
     "op6_exact_dedup": rf"""
 with d as (
   select doc_id, length(coalesce(text, '')) n,
