@@ -208,7 +208,7 @@ class Model:
     def contexts(self, ids: np.ndarray) -> np.ndarray:
         """The context rows of ids; zeros for unknown ones."""
         out = np.zeros(len(ids), CONTEXT)
-        known = np.flatnonzero(ids >= 0)
+        known = np.flatnonzero((ids >= 0) & (self.documents > 0))
         block = ids[known] // BLOCK
         for b in np.unique(block).tolist():
             here = known[block == b]
@@ -316,22 +316,23 @@ def train(docs: DataFrame) -> Model:
     model = Model(shared_folder(spark, "language-model"), documents=n)
     if not n:
         return model
-    shards = max(4, -(-(size or 0) // SHARD_BYTES))
-    words = rows.mapInArrow(functools.partial(_count_words, shards), BLOBS).groupBy("shard")
-    found = words.applyInPandas(functools.partial(_write_words, model.folder), "shard int, size long, total long").collect()
+    folder, shards = model.folder, max(4, -(-(size or 0) // SHARD_BYTES))
+    dealt = rows.mapInArrow(functools.partial(_count_words, shards), BLOBS).groupBy("shard")
+    found = dealt.applyInPandas(lambda rows: _write_words(folder, rows), "shard int, size long, total long").collect()
     model.sizes, model.totals = [0] * shards, [0] * shards
     for r in found:
         model.sizes[r["shard"]], model.totals[r["shard"]] = r["size"], r["total"]
-    if model.words + 1 >= 1 << 32:
+    words = model.words
+    if words + 1 >= 1 << 32:
         raise ValueError("more words than ids")
     pairs = rows.mapInArrow(functools.partial(_count_bigrams, model, shards), BLOBS).groupBy("shard")
-    sums = staged(pairs.applyInPandas(functools.partial(_write_bigrams, model.folder), SUMS), "bigram-sums")
+    sums = staged(pairs.applyInPandas(lambda rows: _write_bigrams(folder, rows), SUMS), "bigram-sums")
     model.bigrams, of_counts = [0] * shards, [0] * 4
     for r in sums.filter("kind = 'size'").select("shard", "size", "n").collect():
         model.bigrams[r["shard"]] = r["size"]
         of_counts = [a + b for a, b in zip(of_counts, r["n"], strict=True)]
     model.discounts = discounts(of_counts)
-    blocks = sums.filter("block >= 0").groupBy("block").applyInPandas(functools.partial(_write_contexts, model.folder, model.words), "block int, n array<long>")
+    blocks = sums.filter("block >= 0").groupBy("block").applyInPandas(lambda rows: _write_contexts(folder, words, rows), "block int, n array<long>")
     lower = [sum(x) for x in zip(*[r["n"] for r in blocks.collect()], strict=True)]
     model.lower_discounts, model.followers = discounts(lower[:4]), lower[5]
     d1, d2, d3 = model.lower_discounts

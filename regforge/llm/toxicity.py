@@ -131,8 +131,7 @@ def readings(run: str, model: np.ndarray, best: int = READINGS) -> list[str]:
                 arcs.append(("", -1.0))
         elif ch in _SEPARATORS:
             arcs.append(("", -0.2))
-            if not spaced:
-                arcs.append((" ", -1.5))
+            arcs.append((" ", -3.0 if spaced else -1.5))
         else:
             arcs.append((" ", -4.0))
             if ch == before:
