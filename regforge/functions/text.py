@@ -6,10 +6,11 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from regforge import constants as C
-from regforge.functions.columns import as_column, fill
+from regforge.functions.columns import as_column, bind, fill
 
 # The Unicode property is several times faster than a class of listed code points.
 WHITESPACE = r"[\p{IsWhite_Space}\x1C-\x1F]"
+NON_WHITESPACE = r"[^\p{IsWhite_Space}\x1C-\x1F]"
 NON_WORD = r"[^\p{L}\p{N}_]+"
 
 
@@ -18,6 +19,15 @@ def normalized(text: str | Column) -> Column:
     return F.trim(F.regexp_replace(F.lower(as_column(text)), NON_WORD, " "))
 
 
+def clean_name(value: str | Column) -> Column:
+    """A name without whitespace (any) at its ends; NULL if nothing is left.
+
+    Every side of a join by name goes through it.
+    """
+    edges = f"^{WHITESPACE}+|{WHITESPACE}+$"
+    return F.nullif(F.regexp_replace(as_column(value).cast("string"), edges, ""), F.lit(""))
+
+
 def folded(text: str | Column) -> Column:
     """Trim (any whitespace) and lower case."""
     edges = f"^{WHITESPACE}+|{WHITESPACE}+$"
@@ -53,10 +63,12 @@ def structure_candidates(
 
 
 def keyword_hits(text: str | Column, keywords: Column) -> Column:
-    """Number of keywords that occur in the text, ignoring case."""
+    """Number of keywords that occur in the text, ignoring case. The text is lower-cased
+    once, not once per keyword."""
     lowered = F.lower(F.coalesce(as_column(text), F.lit("")))
-    found = F.filter(F.coalesce(keywords, F.array()), lambda word: F.contains(lowered, F.lower(word)))
-    return F.size(found).cast("long")
+    listed = F.coalesce(keywords, F.array().cast("array<string>"))
+    hits = bind(lowered, lambda low: F.size(F.filter(listed, lambda word: F.contains(low, F.lower(word)))))
+    return hits.cast("long")
 
 
 def shared_words(text: Column, other: Column, words: Iterable[str]) -> Column:
@@ -69,14 +81,18 @@ def shared_words(text: Column, other: Column, words: Iterable[str]) -> Column:
 
 
 def prompt(
-    instruction: str | Column, input_text: str | Column, output: str | Column | None = None
+    instruction: str | Column, input_text: str | Column, output: str | Column | None = None,
+    blank_input: bool = False,
 ) -> Column:
-    """Rendered prompt, with the answer if ``output`` is given."""
+    """Rendered prompt, with the answer if ``output`` is given. The comparison of models
+    keeps the input section also where the input is blank: ``blank_input``."""
     values = {
         "instruction": F.coalesce(as_column(instruction), F.lit("")),
         "input": F.coalesce(as_column(input_text), F.lit("")),
         "output": F.lit("") if output is None else F.coalesce(as_column(output), F.lit("")),
     }
+    if blank_input:
+        return fill(C.PROMPT_WITH_INPUT, **values)
     return F.when(values["input"] != "", fill(C.PROMPT_WITH_INPUT, **values)).otherwise(
         fill(C.PROMPT_WITHOUT_INPUT, **values)
     )

@@ -1,5 +1,7 @@
 """Two models side by side on the same prompts."""
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -16,8 +18,8 @@ def scored_responses(
     text: str = "response", keywords: str = "expected_keywords",
 ) -> DataFrame:
     """Keyword scores per (prompt, model). ``suite`` brings the keywords per prompt,
-    unless the responses carry them."""
-    rows = responses if suite is None else responses.join(suite, prompt)
+    unless the responses carry them. A prompt that the suite lacks has no keywords: 0 of 0."""
+    rows = responses if suite is None else responses.join(suite, prompt, "left")
     return with_keyword_score(rows, text, keywords)
 
 
@@ -29,7 +31,8 @@ def winners(
     scored: DataFrame, prompt: str = "prompt_id", task: str = "task", model: str = "model",
     base: str = BASE, tuned: str = TUNED,
 ) -> DataFrame:
-    """Scores of both models per prompt and the winner (``Tie`` if equal).
+    """Scores of both models per prompt and the winner: ``Tie`` if equal, NULL where one
+    of the models has no response.
 
     A conditional aggregate over the two known models: no self-join, doubles only in
     the buffer.
@@ -40,7 +43,7 @@ def winners(
     )
     winner = F.when(F.col("tuned_score") > F.col("base_score"), tuned).when(
         F.col("base_score") > F.col("tuned_score"), base
-    ).otherwise("Tie")
+    ).when(F.col("base_score") == F.col("tuned_score"), "Tie")
     return sides.withColumn("winner", winner)
 
 
@@ -87,10 +90,12 @@ def comparison_summary(
 def sample_responses(
     scored: DataFrame, prompt: str = "prompt_id", text: str = "response", model: str = "model",
     prompts: int = C.SAMPLE_PROMPTS, characters: int = C.SAMPLE_CHARACTERS,
-    base: str = BASE, tuned: str = TUNED,
+    base: str = BASE, tuned: str = TUNED, shown: Sequence[str] = (),
 ) -> DataFrame:
     """Report of the first prompts with both responses, long ones cut for display.
 
+    ``shown`` names text columns of the prompt (instruction, input) to print, cut alike.
+
     The prompts are picked first (top-k on the key alone), then only their texts are
     brought together.
     """
@@ -98,6 +103,7 @@ def sample_responses(
     # At most ``prompts`` rows, hence the broadcast: texts of other prompts stay put.
     rows = scored.join(F.broadcast(first), prompt, "left_semi")
     return rows.groupBy(prompt).agg(
+        *[F.max(excerpt(column, characters)).alias(column) for column in shown],
         *[
             F.max(F.when(F.col(model) == which, value)).alias(f"{label}_{name}")
             for which, label in ((base, "base"), (tuned, "tuned"))

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from regforge import constants as C
 from regforge.functions.columns import as_column, blank_to_null, fill
-from regforge.functions.text import tokens
+from regforge.functions.text import NON_WHITESPACE, WHITESPACE, clean_name, tokens
 
 
 def _row(instruction: Column, input_text: Column, output: Column, task: str) -> Column:
@@ -48,7 +48,7 @@ def instruction_rows(
         optional(structure).alias("_structure"),
         optional(reactions).alias("_reactions"),
         optional(reason).alias("_reason"),
-    ).filter((F.trim("_name") != "") & (F.col("_name") != C.UNKNOWN_NAME))
+    ).filter((clean_name("_name").isNotNull()) & (F.col("_name") != C.UNKNOWN_NAME))
 
     def text(template: str, **other: Column) -> Column:
         return fill(template, **{**values, **other})
@@ -80,7 +80,7 @@ def instruction_rows(
                  C.TASK_IDENTIFY),
         ),
         F.when(
-            F.trim(values["reason"]) != "",
+            clean_name(values["reason"]).isNotNull(),
             _row(text(C.FAILURE_QUESTION), with_structure, text(C.FAILURE_ANSWER), C.TASK_FAILURE),
         ),
     ]
@@ -150,11 +150,14 @@ def length_budget(
     budget: int = C.PROMPT_TOKEN_BUDGET,
     keep: Sequence[str] = (),
 ) -> DataFrame:
-    """Whitespace-token count of the whole text, a flag, and the text within budget."""
-    counted = df.select(*keep, tokens(text).alias("_tokens"))
-    return counted.select(
-        *keep,
-        F.size("_tokens").cast("long").alias("n_tokens"),
-        (F.size("_tokens") > budget).alias("over_budget"),
-        F.array_join(F.slice("_tokens", 1, budget), " ").alias("text"),
-    )
+    """Whitespace-token count of the whole text, a flag, and the text within budget.
+
+    A text within budget stays as it is; a longer one ends where its last token within
+    budget ends, with its layout kept. NULL counts as empty.
+    """
+    counted = df.select(*keep, F.coalesce(text, F.lit("")).alias("_text"), F.size(tokens(text)).cast("long").alias("n_tokens"))
+    # Every piece is a token with the whitespace before it.
+    pieces = F.regexp_extract_all("_text", F.lit(f"{WHITESPACE}*{NON_WHITESPACE}+"), F.lit(0))
+    within = F.array_join(F.slice(pieces, 1, budget), "")
+    over = F.col("n_tokens") > budget
+    return counted.select(*keep, "n_tokens", over.alias("over_budget"), F.when(over, within).otherwise(F.col("_text")).alias("text"))

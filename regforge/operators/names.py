@@ -8,6 +8,11 @@ from pyspark.sql import functions as F
 
 from regforge import constants as C
 from regforge.functions.columns import as_column, blank_to_null, explode_rows
+from regforge.functions.text import clean_name
+
+
+#: Bits of the mask that remembers the sources of a name.
+_MAX_SOURCES = 62
 
 
 def explode_names(
@@ -25,7 +30,7 @@ def explode_names(
     """
     # The separator is matched literally.
     array = as_column(names) if separator is None else F.split(as_column(names), f"\\Q{separator}\\E")
-    rows = explode_rows(df, array, "_name", keep).withColumn(name, blank_to_null("_name", trim=True))
+    rows = explode_rows(df, array, "_name", keep).withColumn(name, clean_name("_name"))
     return rows.drop("_name").filter(F.col(name).isNotNull())
 
 
@@ -71,16 +76,19 @@ def name_dictionary(sources: Sequence[DataFrame], order: Sequence[str]) -> DataF
     """Union of tagged names to ``(drug_name, source, status)``.
 
     ``order`` ranks the sources: the status is the first non-missing one by (source
-    rank, position). Distinct sources are listed alphabetically.
+    rank, position). Distinct sources are listed alphabetically. A source that ``order``
+    lacks is an error.
 
     Stage one groups by (name, source, status) with only longs in the buffer: a hash
     aggregate that combines map-side, so a name holding a third of all rows leaves
     each task as a few rows. Stage two sees those few rows only.
     """
+    if len(order) > _MAX_SOURCES:
+        raise ValueError(f"more than {_MAX_SOURCES} sources")
     rank = F.coalesce(*[F.when(F.col("source") == name, F.lit(i)) for i, name in enumerate(order)])
     tagged = reduce(DataFrame.unionByName, sources).select(
-        blank_to_null("drug_name", trim=True).alias("drug_name"),
-        rank.alias("rank"),
+        clean_name("drug_name").alias("drug_name"),
+        F.coalesce(rank, F.raise_error(F.concat(F.lit("source without a rank: "), "source")).cast("int")).alias("rank"),
         blank_to_null("status").alias("status"),
         "position",
     )
@@ -91,7 +99,7 @@ def name_dictionary(sources: Sequence[DataFrame], order: Sequence[str]) -> DataF
     )
     ordered = F.when(F.col("status").isNotNull(), F.struct("rank", "position", "status"))
     merged = seen.groupBy("drug_name").agg(
-        F.bit_or(F.call_function("shiftleft", F.lit(1), F.col("rank"))).alias("mask"), F.min(ordered).alias("first")
+        F.bit_or(F.call_function("shiftleft", F.lit(1).cast("long"), F.col("rank"))).alias("mask"), F.min(ordered).alias("first")
     )
     listed = [
         F.when(F.col("mask").bitwiseAND(1 << order.index(name)) != 0, F.lit(name))

@@ -82,11 +82,14 @@ def score_by_task(
 
 def accuracy_rollup(df: DataFrame, correct: str = "correct", task: str = "task") -> DataFrame:
     """Correct, total and ratio per task and overall (``is_total`` = 1, task NULL), from
-    one aggregation."""
+    one aggregation. An empty table has the overall row 0 of 0."""
     rows = df.select(task_of(task).alias("task"), F.col(correct).cast("int").alias("_ok"))
-    return rows.rollup("task").agg(
-        F.grouping("task").cast("int").alias("is_total"),
+    counted = [
         F.coalesce(F.sum("_ok"), F.lit(0)).cast("long").alias("correct"),
         F.count(F.lit(1)).alias("total"),
         F.coalesce(F.avg("_ok"), F.lit(0.0)).alias("accuracy"),
-    )
+    ]
+    found = rows.rollup("task").agg(F.grouping("task").cast("int").alias("is_total"), *counted)
+    # Only an aggregate without keys gives a row for no input; it reads one row at most.
+    none = rows.limit(1).agg(*counted).filter("total = 0")
+    return found.unionByName(none.select(F.lit(None).cast("string").alias("task"), F.lit(1).alias("is_total"), "correct", "total", "accuracy"))

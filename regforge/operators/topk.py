@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from regforge import constants as C
 from regforge.functions.columns import as_column
+from regforge.functions.text import clean_name
 
 
 def first_k_distinct(
@@ -16,8 +17,9 @@ def first_k_distinct(
     key_name: str = "drug_name",
     value_name: str = "values",
     separator: str = C.VALUE_SEPARATOR,
+    clean: bool = False,
 ) -> DataFrame:
-    """Per key the first ``k`` distinct non-blank values, joined in order of first
+    """Per key (with ``clean``: a name, see ``clean_name``) the first ``k`` distinct non-blank values, joined in order of first
     appearance (ties by value).
 
     No group is ever collected: (key, value) pairs combine map-side, the window keeps
@@ -25,7 +27,7 @@ def first_k_distinct(
     step sees at most ``k`` rows per key, already partitioned and sorted by key.
     """
     rows = df.select(
-        as_column(key).alias("_key"),
+        (clean_name(key) if clean else as_column(key)).alias("_key"),
         F.nullif(as_column(value).cast("string"), F.lit("")).alias("_value"),
         as_column(position).alias("_position"),
     ).filter(F.col("_key").isNotNull() & F.col("_value").isNotNull())

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from regforge import constants as C
 from regforge.functions.columns import as_column
+from regforge.functions.text import clean_name
 from regforge.operators.instruct import classification_rows, instruction_rows
 from regforge.operators.joins import left_join_many
 from regforge.operators.names import (
@@ -19,6 +20,7 @@ from regforge.operators.names import (
 from regforge.operators.split import split_counts, split_exact, split_stratified
 from regforge.operators.topk import first_k_distinct
 from regforge.plans.stages import staged
+from regforge.sources.trials import failed_trials
 
 REGISTRY_NAME_COLUMNS = ("ingredient", "trade_name")
 LABEL_NAME_COLUMNS = ("brand_name", "generic_name")
@@ -26,7 +28,8 @@ LABEL_NAME_COLUMNS = ("brand_name", "generic_name")
 
 @dataclass(frozen=True)
 class Extracts:
-    """Flat inputs; an absent one is None. ``position`` is the row order (a long) of the
+    """Flat inputs; an absent one is None. Without ``failed_trials`` the failure reasons
+    come from the ``trials`` that failed. ``position`` is the row order (a long) of the
     tables whose order decides which value comes first."""
 
     registry: DataFrame | None = None
@@ -61,7 +64,7 @@ def entity_names(
 def top_reactions(adverse_events: DataFrame, position: str | Column = "position",
                   k: int = C.MAX_REACTIONS) -> DataFrame:
     return first_k_distinct(
-        adverse_events, "drug_name", "reactions", position, k, value_name="adverse_reactions"
+        adverse_events, "drug_name", "reactions", position, k, value_name="adverse_reactions", clean=True
     )
 
 
@@ -93,11 +96,15 @@ def unified_table(
     )
     if extracts.adverse_events is not None:
         unified = unified.join(top_reactions(extracts.adverse_events), "drug_name", "left")
-    if extracts.failed_trials is not None:
-        reasons = top_reasons(extracts.failed_trials, names, position, separator=separator)
+    failed = extracts.failed_trials
+    if failed is None and extracts.trials is not None and "why_stopped" in extracts.trials.columns:
+        failed = failed_trials(extracts.trials)
+    if failed is not None:
+        reasons = top_reasons(failed, names, position, separator=separator)
         unified = unified.join(reasons, "drug_name", "left")
     if extracts.structures is not None:
-        unified = left_join_many(unified, extracts.structures, "drug_name")
+        named = extracts.structures.withColumn("drug_name", clean_name("drug_name"))
+        unified = left_join_many(unified, named, "drug_name")
     return unified
 
 
@@ -111,7 +118,8 @@ class Datasets:
 
 def build_datasets(extracts: Extracts, split_key: str = "sample", **options) -> Datasets:
     """All products of the pipeline, each instruction and classification row with its
-    ``split``. The unified table and both row sets are read several times, hence staged.
+    ``split``. The unified table and both row sets are read several times, hence staged:
+    this runs the jobs that write them.
 
     ``split_key='sample'`` splits rows; ``'drug_name'`` keeps an entity on one side.
     """

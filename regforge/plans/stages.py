@@ -1,6 +1,8 @@
 """Stage boundaries: results that several later steps read."""
 
+import os
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame
 
@@ -8,18 +10,18 @@ _SETTING = "spark.checkpoint.dir"
 
 
 def staged(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint of ``df``, written on its first use.
+    """The rows of ``df``, written once as Parquet below ``spark.checkpoint.dir`` and read back.
 
-    The folder is the shared one the cluster names in ``spark.checkpoint.dir``; files
-    there survive lost executors. Only where none is set (tests, one machine) a
-    temporary folder is used.
+    This is an action: it runs the jobs of ``df`` now, and later steps read what they wrote.
+    The folder has to be one that all executors share, so that a lost executor loses
+    nothing. Only a session on one machine may leave the setting out.
     """
     spark = df.sparkSession
-    context = spark.sparkContext
-    folder = spark.conf.get(_SETTING, None) or context.getConf().get(_SETTING)
-    if folder:
-        if not context.getCheckpointDir():
-            context.setCheckpointDir(folder)
-    elif not context.getCheckpointDir():
-        context.setCheckpointDir(tempfile.mkdtemp(prefix="regforge-"))
-    return df.checkpoint(eager=False)
+    folder = spark.conf.get(_SETTING, None) or spark.sparkContext.getConf().get(_SETTING)
+    if not folder:
+        if not spark.sparkContext.master.startswith("local["):
+            raise ValueError(f"set {_SETTING} to a folder that all executors share")
+        folder = os.path.join(tempfile.gettempdir(), f"regforge-{os.getpid()}")
+    path = f"{folder.rstrip('/')}/stage-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)

@@ -7,18 +7,29 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
+CSV_OPTIONS = {"header": "true", "escape": '"'}
+JSON_OPTIONS = {"ignoreNullFields": "false"}
+
+
+def jsonl_lines(df: DataFrame, name: str = "line") -> DataFrame:
+    """Every row as the line that ``write_jsonl`` writes."""
+    return df.select(F.to_json(F.struct("*"), JSON_OPTIONS).alias(name))
+
+
 def write_csv(df: DataFrame, path: str, mode: str = "overwrite") -> None:
-    df.write.mode(mode).option("header", True).option("escape", '"').csv(path)
+    df.write.mode(mode).options(**CSV_OPTIONS).csv(path)
 
 
 def write_jsonl(df: DataFrame, path: str, mode: str = "overwrite") -> None:
     """One object per row, text unescaped, NULL fields kept."""
-    df.write.mode(mode).option("ignoreNullFields", False).json(path)
+    df.write.mode(mode).options(**JSON_OPTIONS).json(path)
 
 
 def write_split(df: DataFrame, path: str, split: str = "split", fmt: str = "json") -> None:
-    """One sub-folder per split value, from a single pass."""
-    df.write.mode("overwrite").option("header", True).partitionBy(split).format(fmt).save(path)
+    """One sub-folder per split value, from a single pass, written as ``write_csv`` and
+    ``write_jsonl`` write."""
+    options = {"csv": CSV_OPTIONS, "json": JSON_OPTIONS}.get(fmt, {})
+    df.write.mode("overwrite").options(**options).partitionBy(split).format(fmt).save(path)
 
 
 def stats_document(counts: DataFrame, dataset: str = "dataset", split: str = "split", rows: str = "rows") -> DataFrame:

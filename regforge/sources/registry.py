@@ -15,11 +15,23 @@ from regforge import constants as C
 from regforge.functions.columns import as_column, blank_to_null, explode_rows, joined
 
 
-def read_pages(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+#: Holds the text of a page that is no JSON of the schema.
+REJECTED = "_rejected"
+
+
+def read_pages(spark: SparkSession, path: str, schema: T.StructType, mode: str = "FAILFAST") -> DataFrame:
     """One row per JSON page file below ``path``. A page is one document (at most a
-    thousand results), so one file per task record is the right unit."""
+    thousand results), so one file per task record is the right unit.
+
+    A corrupt page fails the read. With ``mode='PERMISSIVE'`` it stays as a row whose text
+    is in the column ``_rejected``, which ``rejected_pages`` lists.
+    """
+    if mode == "PERMISSIVE":
+        schema = T.StructType([*schema.fields, T.StructField(REJECTED, T.StringType())])
     return (
         spark.read.schema(schema)
+        .option("mode", mode)
+        .option("columnNameOfCorruptRecord", REJECTED)
         .option("multiLine", True)
         .option("recursiveFileLookup", True)
         .json(path)
@@ -29,11 +41,22 @@ def read_pages(spark: SparkSession, path: str, schema: T.StructType) -> DataFram
 def parse_pages(
     df: DataFrame, payload: str | Column, schema: T.StructType, keep: Sequence[str] = ()
 ) -> DataFrame:
-    """The same for payloads that already are a text column."""
-    parsed = F.from_json(as_column(payload), schema)
+    """The same for payloads that already are a text column.
+
+    A corrupt payload stays as a row whose text is in the column ``_rejected``.
+    """
+    held = T.StructType([*schema.fields, T.StructField(REJECTED, T.StringType())])
+    parsed = F.from_json(as_column(payload), held, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": REJECTED})
     return df.select(*keep, parsed.alias("_page")).select(*keep, "_page.*")
 
 
+def rejected_pages(pages: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
+    """The pages that could not be parsed, with their text."""
+    # Spark refuses to read files for the corrupt column alone, so another one is looked at.
+    other = next(name for name in pages.columns if name != REJECTED)
+    return pages.filter(F.col(REJECTED).isNotNull() & (F.hash(other) >= -(1 << 31))).select(*keep, F.col(REJECTED).alias("page"))
+
+
 def _first(values: str) -> Column:
     """First element of a list, NULL if the list is missing or empty."""
     return blank_to_null(F.get(F.col(values), F.lit(0)))

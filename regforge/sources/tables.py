@@ -9,15 +9,19 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
-def read_csv_or_empty(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    """CSV with header; a missing path and a file without rows are an empty table."""
+def read_csv_or_empty(spark: SparkSession, path: str, schema: T.StructType, multi_line: bool = True) -> DataFrame:
+    """CSV with header; a missing path and a file without rows are an empty table.
+
+    Values with line ends need ``multi_line``, which reads a file in one task; without it
+    large files are split.
+    """
     try:
         return (
             spark.read.schema(schema)
             .option("header", True)
             .option("enforceSchema", False)
             .option("escape", '"')
-            .option("multiLine", True)
+            .option("multiLine", multi_line)
             .csv(path)
         )
     except AnalysisException as error:
@@ -31,6 +35,13 @@ def read_jsonl(spark: SparkSession, path: str, schema: T.StructType) -> DataFram
     return spark.read.schema(schema).json(path)
 
 
+def parse_jsonl(df: DataFrame, line: str | Column, schema: T.StructType) -> DataFrame:
+    """The same for lines that already are a text column; blank ones are skipped."""
+    line = line if isinstance(line, Column) else F.col(line)
+    rows = df.filter(F.trim(line) != "").select(F.from_json(line, schema).alias("_row"))
+    return rows.select("_row.*")
+
+
 def first_rows(df: DataFrame, limit: int, *order: str | Column) -> DataFrame:
     """The first ``limit`` rows in a stated order (top-k per task, then merged)."""
     return df.orderBy(*order).limit(limit)

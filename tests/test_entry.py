@@ -5,8 +5,9 @@ import pytest
 import __spark_entry__ as entry_module
 from oracle_check import difference, duck
 from regforge import constants as C
+from workloads.oracle import ORACLE_SQL as SQL
+from workloads.queries import QUERIES
 
-QUERIES, SQL = entry_module.queries(), entry_module.oracle_sql()
 # Per-line subsequences need a walk back through the table: checked against the
 # definition in test_functions and test_metrics instead.
 WITHOUT_SQL = {"eval_rouge_lsum"}
@@ -31,6 +32,10 @@ def test_query_without_sql_runs(spark, smoke_folder, name):
     assert QUERIES[name](spark, smoke_folder).count() > 0
 
 
+def test_the_entry_point_lists_them():
+    assert set(QUERIES) <= set(entry_module.queries()) and set(SQL) <= set(entry_module.oracle_sql())
+
+
 def test_entry(spark):
     df = entry_module.entry(spark)
     assert df.columns == ["instruction", "input", "output", "task"]

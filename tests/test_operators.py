@@ -183,7 +183,7 @@ def test_status_score_and_length_filter(spark):
 def test_length_budget(spark):
     df = spark.createDataFrame([(1, "a  b\nc d"), (2, None)], "id int, t string")
     got = rows_of(instruct.length_budget(df, "t", 3, ["id"]), "id", "n_tokens", "over_budget", "text")
-    assert got == [(1, 4, True, "a b c"), (2, 0, False, "")]
+    assert got == [(1, 4, True, "a  b\nc"), (2, 0, False, "")]
 
 
 # --- generation ------------------------------------------------------------------

@@ -141,17 +141,21 @@ def order_pairs(t: Callable[[str], DataFrame]) -> DataFrame:
     return this.join(following, "o_orderkey")
 
 
+def prompt_id() -> Column:
+    """The prompt of a turn pair."""
+    return F.concat_ws(
+        "-", F.lpad(F.col("conv_id").cast("string"), 12, "0"), F.lpad(F.col("turn").cast("string"), 6, "0")
+    ).alias("prompt_id")
+
+
 def responses(t: Callable[[str], DataFrame]) -> DataFrame:
     """Both texts of a turn pair as answers of two models, from one pass."""
     pairs = turn_pairs(t)
-    prompt_id = F.concat_ws(
-        "-", F.lpad(F.col("conv_id").cast("string"), 12, "0"), F.lpad(F.col("turn").cast("string"), 6, "0")
-    )
     both = F.array(
         F.struct(F.lit(BASE).alias("model"), F.col("reference").alias("response")),
         F.struct(F.lit(TUNED).alias("model"), F.col("prediction").alias("response")),
     )
-    rows = pairs.select(prompt_id.alias("prompt_id"), "task", F.inline(both))
+    rows = pairs.select(prompt_id(), "task", F.inline(both))
     return rows.withColumns(
         {
             "latency": F.length("response") / F.lit(100.0),

@@ -27,6 +27,7 @@ def case(column: str, values: dict, other: str = "NULL") -> str:
 WHITESPACE = (
     r"[\s\x0b\x1c-\x1f\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]"
 )
+NON_WHITESPACE = "[^" + WHITESPACE[1:]
 
 
 def tokens(column: str) -> str:
@@ -201,6 +202,19 @@ ORACLE_SQL["source_summary"] = " UNION ALL ".join(
 
 ORACLE_SQL["jsonl_roundtrip"] = "SELECT c_custkey, c_name, c_nationkey, c_acctbal, c_mktsegment FROM customer"
 
+ORACLE_SQL["rejected_pages"] = """
+SELECT s_suppkey, CASE WHEN s_suppkey % 4 = 0 THEN 'rejected' ELSE 'row' END AS kind,
+       CASE WHEN s_suppkey % 4 <> 0 THEN recalling_firm END AS recalling_firm
+FROM (SELECT s_suppkey, s_name AS recalling_firm FROM supplier JOIN nation ON s_nationkey = n_nationkey)"""
+
+ORACLE_SQL["padded_names"] = """
+WITH named AS (SELECT p_partkey, p_name || ' ' || p_size AS name FROM part),
+reactions AS (
+  SELECT name, string_agg(r, '; ' ORDER BY pos, r) AS found FROM (
+    SELECT name, 'r' || p_partkey % 3 AS r, min(p_partkey) AS pos FROM named GROUP BY ALL) GROUP BY name)
+SELECT name AS drug_name, 'openfda_labels' AS source, 'approved' AS status, any_value(found) AS adverse_reactions, min(p_partkey) AS cid
+FROM named JOIN reactions USING (name) GROUP BY name"""
+
 # --- filters ---------------------------------------------------------------------
 ORACLE_SQL["trials_failed"] = """
 SELECT o_orderkey, o_orderstatus, o_orderpriority FROM orders
@@ -239,21 +253,23 @@ SELECT count(*) AS total, count(quality) AS found, count(*) - count(quality) AS
 FROM documents LEFT JOIN labels USING (doc_id)"""
 
 ORACLE_SQL["enrich_lookup"] = """
-SELECT l_orderkey, l_linenumber, l_partkey, l_extendedprice AS price, p_partkey, p_name,
+SELECT l_orderkey, l_linenumber, asked AS l_partkey, l_extendedprice AS price, asked AS p_partkey, p_name,
        p_retailprice AS price_pubchem
-FROM lineitem LEFT JOIN (SELECT * FROM part WHERE p_size <= 25) ON l_partkey = p_partkey"""
+FROM (SELECT *, CASE WHEN l_orderkey % 3 = 0 THEN -l_partkey ELSE l_partkey END AS asked FROM lineitem)
+LEFT JOIN part ON asked = p_partkey"""
 
 ORACLE_SQL["lookup_names"] = """
-SELECT DISTINCT ' ' || p.p_name AS drug_name, d.p_partkey, d.p_brand
+SELECT DISTINCT chr(9) || ' ' || p.p_name || CASE WHEN p.p_size > 25 THEN ' none' ELSE '' END AS drug_name,
+       d.p_partkey, d.p_brand
 FROM part p LEFT JOIN (
   SELECT p_name, min(p_partkey) AS p_partkey, arg_min(p_brand, p_partkey) AS p_brand
-  FROM part WHERE p_type = 'PROMO' GROUP BY p_name) d ON d.p_name = p.p_name"""
+  FROM part GROUP BY p_name) d ON d.p_name = p.p_name AND p.p_size <= 25"""
 
 ORACLE_SQL["enrich_update"] = """
 SELECT c_custkey, c_nationkey, coalesce(s.balance, c_acctbal) AS c_acctbal
 FROM customer LEFT JOIN (
-  SELECT s_nationkey, arg_min(s_acctbal, s_suppkey) AS balance
-  FROM supplier WHERE s_acctbal > 5000 GROUP BY s_nationkey) s ON s_nationkey = c_nationkey"""
+  SELECT s_nationkey, CASE WHEN s_acctbal > 5000 THEN s_acctbal END AS balance FROM supplier
+  QUALIFY row_number() OVER (PARTITION BY s_nationkey ORDER BY s_suppkey) = 1) s ON s_nationkey = c_nationkey"""
 
 # --- data sets -------------------------------------------------------------------
 ORACLE_SQL["status_score"] = f"""
@@ -292,9 +308,9 @@ FROM facts WHERE trim(failure_reason) <> ''"""
 
 ORACLE_SQL["classification_table"] = f"""
 SELECT 'document ' || lpad(CAST(doc_id AS VARCHAR), 12, '0') AS drug_name, text AS canonical_smiles,
-       {case("quality", I.DOCUMENT_STATUSES)} AS status, CAST(quality = 1 AS INTEGER) AS label,
+       {case("quality", I.DOCUMENT_STATUSES)} AS status, CAST(coalesce(quality = 1, false) AS INTEGER) AS label,
        n_chars AS molecular_weight
-FROM documents JOIN labels USING (doc_id)
+FROM documents LEFT JOIN labels USING (doc_id)
 WHERE text <> ''
 QUALIFY row_number() OVER (PARTITION BY text ORDER BY doc_id) = 1"""
 
@@ -368,8 +384,9 @@ FROM head"""
 
 ORACLE_SQL["length_budget"] = f"""
 SELECT doc_id, len(t) AS n_tokens, len(t) > {C.PROMPT_TOKEN_BUDGET} AS over_budget,
-       array_to_string(t[1:{C.PROMPT_TOKEN_BUDGET}], ' ') AS text
-FROM (SELECT doc_id, {tokens("text")} AS t FROM documents)"""
+       CASE WHEN len(t) > {C.PROMPT_TOKEN_BUDGET} THEN array_to_string(p[1:{C.PROMPT_TOKEN_BUDGET}], '') ELSE text END AS text
+FROM (SELECT doc_id, text, {tokens("text")} AS t, regexp_extract_all(text, '{WHITESPACE}*{NON_WHITESPACE}+') AS p
+      FROM documents)"""
 
 ORACLE_SQL["normalize_text"] = f"SELECT doc_id, {normalized('text')} AS text FROM documents"
 
@@ -634,6 +651,23 @@ SELECT prompt_id, task, round(base_m / k, 6) AS base_score, round(tuned_m / k, 6
        CASE WHEN tuned_m > base_m THEN 'finetuned' WHEN base_m > tuned_m THEN 'base' ELSE 'Tie' END AS winner
 FROM scored"""
 
+ORACLE_SQL["compare_missing_side"] = f"""
+WITH {SCORED}
+SELECT prompt_id, task, round(base_m / k, 6) AS base_score,
+       CASE WHEN prompt_id NOT LIKE '%4' THEN round(tuned_m / k, 6) END AS tuned_score,
+       CASE WHEN prompt_id LIKE '%4' THEN NULL WHEN tuned_m > base_m THEN 'finetuned'
+            WHEN base_m > tuned_m THEN 'base' ELSE 'Tie' END AS winner
+FROM scored"""
+
+ORACLE_SQL["compare_suite"] = f"""
+WITH {SCORED},
+sides AS (
+  SELECT prompt_id, task, k, unnest(['base', 'finetuned']) AS model, unnest([base_m, tuned_m]) AS m FROM scored)
+SELECT prompt_id, model, CASE WHEN known THEN m ELSE 0 END AS keyword_matches,
+       CAST(CASE WHEN known THEN k ELSE 0 END AS BIGINT) AS total_keywords,
+       CASE WHEN known THEN round(m / k, 6) ELSE 0.0::DOUBLE END AS relevance_score
+FROM (SELECT *, task <> {text(C.TASK_STATUS)} AS known FROM sides)"""
+
 ORACLE_SQL["compare_summary"] = f"""
 WITH {SCORED},
 sums AS (
@@ -654,10 +688,13 @@ def _excerpt(column: str) -> str:
 
 ORACLE_SQL["compare_samples"] = f"""
 WITH {SCORED}
-SELECT prompt_id, {_excerpt("base_text")} AS base_response, round(base_m / k, 6) AS base_score,
+SELECT prompt_id, {_excerpt("base_text")} AS instruction, '' AS input, {_excerpt("rendered")} AS rendered,
+       {_excerpt("base_text")} AS base_response, round(base_m / k, 6) AS base_score,
        round(base_l, 6) AS base_latency, {_excerpt("tuned_text")} AS tuned_response,
        round(tuned_m / k, 6) AS tuned_score, round(tuned_l, 6) AS tuned_latency
-FROM scored ORDER BY prompt_id LIMIT {C.SAMPLE_PROMPTS}"""
+FROM (SELECT *, '### Instruction:' || chr(10) || base_text || chr(10) || chr(10) || '### Input:' || chr(10)
+             || chr(10) || chr(10) || '### Response:' || chr(10) AS rendered FROM scored)
+ORDER BY prompt_id LIMIT {C.SAMPLE_PROMPTS}"""
 
 ORACLE_SQL["batch_score"] = f"""
 SELECT conv_id, turn, 'answer: ' || len({tokens("text")}) || ' words' AS response FROM conversations"""

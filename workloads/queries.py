@@ -11,12 +11,12 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from regforge import constants as C
-from regforge import schemas
+from regforge import schemas, sinks
 from regforge.functions import text as X
 from regforge.functions.columns import explode_rows
 from regforge.operators import compare, enrich, instruct, metrics, names, scoring, split, topk
 from regforge.operators.generate import batch_generate
-from regforge.plans.datasets import entity_names, unified_table
+from regforge.plans.datasets import Extracts, entity_names, unified_table
 from regforge.plans.evaluation import evaluation_by_task, metric_report
 from regforge.sources import delimited, registry, structures, tables, trials
 from workloads import inputs as I
@@ -113,8 +113,18 @@ def source_summary(t, spark, folder):
 @query
 def jsonl_roundtrip(t, spark, folder):
     customers = t("customer")
-    lines = customers.select(F.to_json(F.struct("*"), {"ignoreNullFields": "false"}).alias("line"))
-    return lines.select(F.from_json("line", customers.schema).alias("c")).select("c.*")
+    return tables.parse_jsonl(sinks.jsonl_lines(customers), "line", customers.schema)
+
+
+@query
+def rejected_pages(t, spark, folder):
+    """Pages of recalls, every fourth cut short: rows of the good ones, and the bad ones."""
+    cut = F.when(F.col("s_suppkey") % 4 == 0, F.substring("payload", 1, 40)).otherwise(F.col("payload"))
+    landed = I.recall_pages(t).withColumn("payload", cut)
+    pages = registry.parse_pages(landed, "payload", schemas.RECALL_PAGE, ["s_suppkey"])
+    good = registry.flatten_recalls(pages, ["s_suppkey"]).select("s_suppkey", F.lit("row").alias("kind"), "recalling_firm")
+    bad = registry.rejected_pages(pages, ["s_suppkey"])
+    return good.unionByName(bad.select("s_suppkey", F.lit("rejected").alias("kind"), F.lit(None).cast("string").alias("recalling_firm")))
 
 
 # --- filters ---------------------------------------------------------------------
@@ -190,23 +200,26 @@ def structure_coverage(t, spark, folder):
 
 @query
 def enrich_lookup(t, spark, folder):
-    lines = t("lineitem").select("l_orderkey", "l_linenumber", "l_partkey", F.col("l_extendedprice").alias("price"))
-    dictionary = t("part").filter("p_size <= 25").select("p_partkey", "p_name", F.col("p_retailprice").alias("price"))
+    # Every third line asks for a part that does not exist.
+    asked = F.when(F.col("l_orderkey") % 3 == 0, -F.col("l_partkey")).otherwise(F.col("l_partkey")).alias("l_partkey")
+    lines = t("lineitem").select("l_orderkey", "l_linenumber", asked, F.col("l_extendedprice").alias("price"))
+    dictionary = t("part").select("p_partkey", "p_name", F.col("p_retailprice").alias("price"))
     return enrich.enrich(lines, "l_partkey", dictionary, "p_partkey")
 
 
 @query
 def lookup_names(t, spark, folder):
-    promoted = t("part").filter("p_type = 'PROMO'").select(F.col("p_name").alias("drug_name"), "p_partkey", "p_brand")
-    dictionary = enrich.one_row_per_key(promoted, "drug_name", ["p_partkey"])
-    padded = t("part").select(F.concat(F.lit(" "), "p_name").alias("name"))
+    known = t("part").select(F.concat("p_name", F.lit("\u00a0")).alias("drug_name"), "p_partkey", "p_brand")
+    dictionary = enrich.one_row_per_key(known, "drug_name", ["p_partkey"])
+    unknown = F.when(F.col("p_size") > 25, F.lit(" none")).otherwise(F.lit(""))
+    padded = t("part").select(F.concat(F.lit("\t "), "p_name", unknown).alias("name"))
     return enrich.lookup_names(padded, "name", dictionary)
 
 
 @query
 def enrich_update(t, spark, folder):
-    rich = t("supplier").filter("s_acctbal > 5000").select("s_nationkey", "s_suppkey", F.col("s_acctbal").alias("c_acctbal"))
-    dictionary = enrich.one_row_per_key(rich, "s_nationkey", ["s_suppkey"])
+    balance = F.when(F.col("s_acctbal") > 5000, F.col("s_acctbal")).alias("c_acctbal")
+    dictionary = enrich.one_row_per_key(t("supplier").select("s_nationkey", "s_suppkey", balance), "s_nationkey", ["s_suppkey"])
     customers = t("customer").select("c_custkey", "c_nationkey", "c_acctbal")
     return enrich.update_from(customers, "c_nationkey", dictionary, "s_nationkey", ["c_acctbal"])
 
@@ -225,7 +238,7 @@ def instruction_table(t, spark, folder):
 
 @query
 def classification_table(t, spark, folder):
-    documents = t("documents").join(t("labels"), "doc_id")
+    documents = t("documents").join(t("labels"), "doc_id", "left")
     rows = documents.select(
         F.concat(F.lit("document "), F.lpad(F.col("doc_id").cast("string"), 12, "0")).alias("drug_name"),
         F.col("text").alias("canonical_smiles"),
@@ -405,6 +418,23 @@ def compare_winner(t, spark, folder):
     return rounded(compare.winners(compare.scored_responses(I.responses(t))))
 
 
+@query
+def compare_missing_side(t, spark, folder):
+    """Every fourth prompt lacks the tuned response."""
+    responses = I.responses(t).filter("model = 'base' or not endswith(prompt_id, '4')")
+    return rounded(compare.winners(compare.scored_responses(responses)))
+
+
+@query
+def compare_suite(t, spark, folder):
+    """Keywords come from a suite that only knows the prompts of two tasks."""
+    responses = I.responses(t).drop("expected_keywords")
+    words = F.array(*[F.lit(word) for word in I.KEYWORDS])
+    suite = I.turn_pairs(t).filter(F.col("task") != C.TASK_STATUS).select(I.prompt_id(), words.alias("expected_keywords"))
+    scored = compare.scored_responses(responses, suite)
+    return rounded(scored.select("prompt_id", "model", "keyword_matches", "total_keywords", "relevance_score"))
+
+
 @query
 def compare_summary(t, spark, folder):
     return rounded(compare.comparison_summary(compare.scored_responses(I.responses(t))))
@@ -412,7 +442,24 @@ def compare_summary(t, spark, folder):
 
 @query
 def compare_samples(t, spark, folder):
-    return rounded(compare.sample_responses(compare.scored_responses(I.responses(t))))
+    prompts = I.turn_pairs(t).select(I.prompt_id(), F.col("reference").alias("instruction"), F.lit("").alias("input"))
+    responses = I.responses(t).join(prompts, "prompt_id")
+    responses = responses.withColumn("rendered", X.prompt("instruction", "input", blank_input=True))
+    scored = compare.scored_responses(responses)
+    return rounded(compare.sample_responses(scored, shown=["instruction", "input", "rendered"]))
+
+
+@query
+def padded_names(t, spark, folder):
+    """Names with tabs, no-break and plain blanks on different sides meet in every join."""
+    parts = t("part").select("p_partkey", "p_size", F.concat_ws(" ", "p_name", "p_size").alias("name"))
+    labels = parts.select(F.concat(F.lit("\t"), "name").alias("brand_name"), F.lit(None).cast("string").alias("generic_name"))
+    seen = parts.select(
+        F.concat("name", F.lit("\u00a0")).alias("drug_name"), F.concat(F.lit("r"), F.col("p_partkey") % 3).alias("reactions"), F.col("p_partkey").alias("position")
+    )
+    first = parts.groupBy("name").agg(F.min("p_partkey").alias("cid"))
+    structures = first.select(F.concat(F.lit(" "), "name", F.lit(" ")).alias("drug_name"), "cid")
+    return unified_table(Extracts(labels=labels, adverse_events=seen, structures=structures))
 
 
 @query
