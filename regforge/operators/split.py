@@ -22,7 +22,8 @@ from regforge import constants as C
 from regforge.functions.columns import as_column
 
 _BUCKET_DIGITS = 4  # hex digits: 65,536 ranges
-_LABEL_SALTS = 64
+#: The bounds of all labels travel as one small map.
+MAX_LABELS = 1000
 
 
 def _text(key: str | Column) -> Column:
@@ -91,7 +92,7 @@ def _within(ranges: DataFrame, strata: Sequence[str]) -> DataFrame:
 def _rows_at(places: DataFrame, strata: Sequence[str], wanted: DataFrame) -> DataFrame:
     """``_place`` of each wanted row, as columns ``train`` and ``val`` per stratum."""
     by = [*strata, "_bucket"]
-    order = Window.partitionBy(*by, "which").orderBy("_place")
+    order = Window.partitionBy(*by, "which").orderBy("_place").rowsBetween(Window.unboundedPreceding, 0)
     if strata:
         # 65,536 short names at most, hence the broadcast: rows of other ranges, nearly
         # all, are gone before anything is shuffled.
@@ -100,9 +101,12 @@ def _rows_at(places: DataFrame, strata: Sequence[str], wanted: DataFrame) -> Dat
     else:
         # Two rows by construction.
         near, wanted = places, F.broadcast(wanted)
-    ranked = near.join(wanted, by).withColumn("_row", F.row_number().over(order))
+    # One row per key of the range, so a key that holds a third of all rows is one row here.
+    keys = near.groupBy(*by, "_place").agg(F.count(F.lit(1)).alias("_rows")).join(wanted, by)
+    keys = keys.withColumn("_upto", F.sum("_rows").over(order))
     ends = [F.max(F.when(F.col("which") == w, F.col("_place"))).alias(w) for w in ("train", "val")]
-    return ranked.filter(F.col("_row") == F.col("_inner")).groupBy(*strata).agg(*ends)
+    holds = (F.col("_upto") >= F.col("_inner")) & (F.col("_upto") - F.col("_rows") < F.col("_inner"))
+    return keys.filter(holds).groupBy(*strata).agg(*ends)
 
 
 def _wanted(train_end: Column, validation_end: Column) -> Column:
@@ -215,8 +219,8 @@ def split_stratified(
 ) -> DataFrame:
     """Exact sizes per label, or ``all`` for every row where ``strata_plan`` says so.
 
-    The plan has one row per label. It is joined on (label, salt), the salt being taken
-    from the hash, so a label that holds most rows spreads over 64 join keys.
+    The plan has one row per label, ``MAX_LABELS`` at most. Their boundary rows come to the
+    data as one map, so the rows themselves are never shuffled.
     """
     labelled = df.filter(F.col(label).isNotNull())
     places = _places(labelled, [label], key, seed)
@@ -224,20 +228,17 @@ def split_stratified(
     plan = strata_plan(ranges.groupBy(label).agg(F.sum("rows").alias("rows")), label, train)
     ranks = plan.select(label, _wanted(F.col("train_rows"), F.col("train_rows") + F.col("val_rows")))
     ends = _rows_at(places, [label], _within(ranges.join(ranks, label), [label]))
-    per_label = plan.select(label, "whole").join(ends, label, "left").select(
-        F.col(label).alias("_label"),
-        "whole",
-        F.col("train").alias("_train_end"),
-        F.col("val").alias("_val_end"),
-        F.explode(F.sequence(F.lit(0), F.lit(_LABEL_SALTS - 1))).alias("_label_salt"),
+    entry = F.struct(F.col(label), F.struct("whole", "train", "val"))
+    few = F.when(F.count(F.lit(1)) > MAX_LABELS, F.raise_error(F.lit(f"more than {MAX_LABELS} labels")).cast("int"))
+    per_label = plan.select(label, "whole").join(ends, label, "left")
+    # An array from at most MAX_LABELS rows.
+    bounds = per_label.agg(F.map_from_entries(F.collect_list(entry)).alias("map"), few.alias("few")).select(F.struct("map", "few")).scalar()
+    marked = df.withColumn("_bounds", bounds)
+    marked = marked.withColumn("_end", F.when(F.col("_bounds.few").isNull(), F.element_at("_bounds.map", F.col(label))))
+    side = F.when(F.col("_end.whole"), "all").when(
+        F.col("_end.whole").isNotNull(), _side(_place(key, seed), F.col("_end.train"), F.col("_end.val"))
     )
-    salt = F.pmod(F.crc32(F.col("_place.hash").cast("binary")), F.lit(_LABEL_SALTS)).cast("int")
-    marked = df.withColumn("_place", _place(key, seed)).withColumn("_salt", salt)
-    same = (F.col(label) == F.col("_label")) & (F.col("_salt") == F.col("_label_salt"))
-    side = F.when(F.col("whole"), "all").when(
-        F.col("whole").isNotNull(), _side(F.col("_place"), F.col("_train_end"), F.col("_val_end"))
-    )
-    return marked.join(per_label, same, "left").withColumn(name, side).select(*df.columns, name)
+    return marked.withColumn(name, side).select(*df.columns, name)
 
 
 def split_counts(df: DataFrame, dataset: str, split: str = "split") -> DataFrame:

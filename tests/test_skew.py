@@ -4,7 +4,7 @@ plan has a cross join or an unpartitioned step over the rows."""
 import pytest
 from pyspark.sql import functions as F
 
-from regforge.operators import enrich, instruct, joins, metrics, names, topk
+from regforge.operators import enrich, instruct, joins, metrics, names, split, topk
 from workloads.queries import QUERIES
 
 
@@ -50,6 +50,15 @@ def test_hot_name_in_joins(spark, threshold):
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
 
 
+def test_hot_entity_in_an_exact_split(spark):
+    """A key with a third of the rows is one row where the boundary is looked for."""
+    df = hot(spark)
+    got = split.split_exact(df.select("name"), "name").groupBy("name").agg(F.countDistinct("split").alias("n")).filter("n > 1")
+    assert got.count() == 0
+    plan = split.split_exact(df.select("name"), "name")._jdf.queryExecution().executedPlan().toString()
+    assert "row_number" not in plan
+
+
 def test_copies_of_one_structure(spark):
     df = hot(spark).select(
         F.concat(F.lit("d"), F.lpad(F.col("position").cast("string"), 9, "0")).alias("drug_name"),

@@ -366,6 +366,20 @@ stratified AS (
   FROM strat_ranked JOIN allocation USING (quality))"""
 ORACLE_SQL["split_stratified"] = f"WITH {STRATIFIED} SELECT doc_id, quality, split FROM stratified"
 
+ORACLE_SQL["split_by_entity"] = f"""
+WITH entity AS (
+  SELECT CASE WHEN l_orderkey % 3 = 0 THEN 0 ELSE l_partkey END AS part, count(*) AS rows FROM lineitem GROUP BY 1),
+placed AS (
+  SELECT *, coalesce(sum(rows) OVER (ORDER BY md5('{C.SPLIT_SEED}:' || part), CAST(part AS VARCHAR)
+                              ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before,
+         sum(rows) OVER () AS n FROM entity)
+SELECT part, CASE WHEN before < n - {_HELD} THEN 'train'
+                  WHEN before < n - CAST(ceil({_HELD} * 0.5) AS BIGINT) THEN 'val' ELSE 'test' END AS split, rows
+FROM placed"""
+
+ORACLE_SQL["split_fallback"] = """
+SELECT n_nationkey, CASE WHEN n_nationkey = 0 THEN 'alone' ELSE 'rest' END AS label, 'all' AS split FROM nation"""
+
 ORACLE_SQL["dataset_stats"] = f"""
 WITH {EXACT}, {STRATIFIED}
 SELECT 'instructions' AS dataset, split, count(*) AS rows FROM exact GROUP BY split

@@ -268,6 +268,20 @@ def split_stratified(t, spark, folder):
     return split.split_stratified(t("labels").select("doc_id", "quality"), "doc_id", "quality")
 
 
+@query
+def split_by_entity(t, spark, folder):
+    """Every third order belongs to one part; all rows of a part are on one side."""
+    part = F.when(F.col("l_orderkey") % 3 == 0, 0).otherwise(F.col("l_partkey")).alias("part")
+    return split.split_exact(t("lineitem").select("l_orderkey", part), "part").groupBy("part", "split").agg(F.count(F.lit(1)).alias("rows"))
+
+
+@query
+def split_fallback(t, spark, folder):
+    """A label of one row allows no stratified split: every row is in ``all``."""
+    label = F.when(F.col("n_nationkey") == 0, "alone").otherwise("rest").alias("label")
+    return split.split_stratified(t("nation").select("n_nationkey", label), "n_nationkey", "label")
+
+
 @query
 def dataset_stats(t, spark, folder):
     rows = split.split_exact(t("documents").select("doc_id"), "doc_id")
