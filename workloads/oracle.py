@@ -194,6 +194,13 @@ ORACLE_SQL["structure_coalesce"] = """
 SELECT event_id, coalesce(nullif(json_extract_string(props, '$.missing'), ''),
                           nullif(json_extract_string(props, '$.k'), '')) AS structure FROM events"""
 
+ORACLE_SQL["flatten_structures"] = """
+SELECT p_partkey, CASE WHEN p_size <= 40 THEN p_partkey END AS cid, CASE WHEN p_size <= 40 THEN p_brand END AS molecular_formula,
+       CASE WHEN p_size <= 40 AND p_size <> 20 THEN p_retailprice END AS molecular_weight,
+       CASE WHEN p_size <= 10 THEN p_name WHEN p_size <= 40 THEN p_type END AS canonical_smiles,
+       CAST(NULL AS VARCHAR) AS isomeric_smiles, CAST(NULL AS VARCHAR) AS inchi, CAST(NULL AS VARCHAR) AS inchi_key
+FROM part"""
+
 ORACLE_SQL["limit_ordered"] = "SELECT doc_id, lang, n_chars FROM documents ORDER BY doc_id LIMIT 100"
 
 ORACLE_SQL["source_summary"] = " UNION ALL ".join(
@@ -306,6 +313,16 @@ SELECT {filled(C.FAILURE_QUESTION, name='drug_name')}, subject || line,
        {filled(C.FAILURE_ANSWER, name='drug_name', reason='failure_reason')}, {text(C.TASK_FAILURE)}
 FROM facts WHERE trim(failure_reason) <> ''"""
 
+_SAMPLE = "sha256(task || chr(1) || instruction || chr(1) || input || chr(1) || output)"
+ORACLE_SQL["dataset_instructions"] = f"""
+WITH written AS (SELECT *, {_SAMPLE} AS sample FROM ({ORACLE_SQL["instruction_table"]})),
+placed AS (
+  SELECT *, rank() OVER (ORDER BY md5('{C.SPLIT_SEED}:' || sample), sample) AS r, count(*) OVER () AS n FROM written),
+sized AS (SELECT *, CAST(ceil((1.0::DOUBLE - 0.8::DOUBLE) * n) AS BIGINT) AS held FROM placed)
+SELECT instruction, input, output, task,
+       CASE WHEN r <= n - held THEN 'train' WHEN r <= n - CAST(ceil(held * 0.5) AS BIGINT) THEN 'val' ELSE 'test' END AS split
+FROM sized"""
+
 ORACLE_SQL["classification_table"] = f"""
 SELECT 'document ' || lpad(CAST(doc_id AS VARCHAR), 12, '0') AS drug_name, text AS canonical_smiles,
        {case("quality", I.DOCUMENT_STATUSES)} AS status, CAST(coalesce(quality = 1, false) AS INTEGER) AS label,

@@ -16,7 +16,7 @@ from regforge.functions import text as X
 from regforge.functions.columns import explode_rows
 from regforge.operators import compare, enrich, instruct, metrics, names, scoring, split, topk
 from regforge.operators.generate import batch_generate
-from regforge.plans.datasets import Extracts, entity_names, unified_table
+from regforge.plans.datasets import Extracts, build_datasets, entity_names, unified_table
 from regforge.plans.evaluation import evaluation_by_task, metric_report
 from regforge.sources import delimited, registry, structures, tables, trials
 from workloads import inputs as I
@@ -100,6 +100,23 @@ def structure_coalesce(t, spark, folder):
     return rows.select("event_id", structures.first_filled("p.missing", "p.k").alias("structure"))
 
 
+@query
+def flatten_structures(t, spark, folder):
+    """Parts as look-up payloads; large ones without properties, small ones with the second name of the structure."""
+    small = F.col("p_size") <= 10
+    found = F.struct(
+        F.col("p_partkey").alias("CID"), F.col("p_brand").alias("MolecularFormula"),
+        F.when(F.col("p_size") == 20, "heavy").otherwise(F.col("p_retailprice").cast("string")).alias("MolecularWeight"),
+        F.when(small, "").otherwise(F.col("p_type")).alias("CanonicalSMILES"), F.col("p_name").alias("ConnectivitySMILES"),
+    )
+    pages = t("part").select(
+        "p_partkey",
+        F.to_json(F.struct(F.struct(F.when(F.col("p_size") <= 40, F.array(found)).alias("Properties")).alias("PropertyTable"))).alias("payload"),
+    )
+    parsed = registry.parse_pages(pages, "payload", schemas.STRUCTURE_PAYLOAD, ["p_partkey"])
+    return structures.flatten_structures(parsed, ["p_partkey"])
+
+
 @query
 def limit_ordered(t, spark, folder):
     return tables.first_rows(t("documents").select("doc_id", "lang", "n_chars"), 100, "doc_id")
@@ -236,6 +253,12 @@ def instruction_table(t, spark, folder):
     return instruct.instruction_rows(unified_table(I.extracts(t)))
 
 
+@query
+def dataset_instructions(t, spark, folder):
+    """From the extracts to instruction rows with their split: the data sets as they are written."""
+    return build_datasets(I.extracts(t)).instructions.drop("drug_name")
+
+
 @query
 def classification_table(t, spark, folder):
     documents = t("documents").join(t("labels"), "doc_id", "left")
