@@ -26,6 +26,7 @@ from regforge.llm.sharding import kd_shards
 
 TOXIC = 0.3
 NEAR_PERCENT = 80
+BROADCAST_ROWS = 1_000_000
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
@@ -35,21 +36,31 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return toxicity.scored(docs, model).filter(F.col("__score") < TOXIC).drop("__score")
 
 
+def without(docs: DataFrame, ids: DataFrame) -> DataFrame:
+    """``docs`` but for the documents in ``ids`` (a staged column ``__id``, NULL included).
+
+    The ids are broadcast up to a counted bound; beyond it the join shuffles.
+    """
+    if ids.count() <= BROADCAST_ROWS:
+        ids = F.broadcast(ids)
+    return docs.join(ids, F.col("doc_id").eqNullSafe(F.col("__id")), "left_anti")
+
+
 def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    kept = staged(near_duplicates(docs, NEAR_PERCENT).filter("kept").groupBy(F.col("doc_id").alias("__id")).agg(F.count(F.lit(1)).alias("__n")), "kept-ids")
-    same = F.col("doc_id").eqNullSafe(F.col("__id"))
-    single = docs.join(kept.filter("__n = 1"), same, "left_semi")
-    several = docs.join(kept.filter("__n > 1"), same, "left_semi")
-    if several.isEmpty():
+    found = near_duplicates(docs, NEAR_PERCENT).groupBy(F.col("doc_id").alias("__id"))
+    found = staged(found.agg(F.max("kept").alias("kept"), F.count(F.lit(1)).alias("n")).filter("not kept or n > 1"), "group-ids")
+    single = without(docs, found.select("__id"))
+    repeated = found.filter("kept").select("__id")
+    if repeated.isEmpty():
         return single
+    several = docs.join(repeated, F.col("doc_id").eqNullSafe(F.col("__id")), "left_semi")
     one = several.groupBy("doc_id").agg(F.min_by(F.struct(*docs.columns), F.struct(F.xxhash64("text"), F.col("text"))).alias("__row"))
     return single.unionByName(one.select("__row.*"))
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     found = contaminated_documents(docs, table(spark, sf_dir, "benchmark"))
-    found = staged(found.select(F.col("doc_id").alias("__id")).distinct(), "contaminated")
-    return docs.join(found, F.col("doc_id").eqNullSafe(F.col("__id")), "left_anti")
+    return without(docs, staged(found.select(F.col("doc_id").alias("__id")).distinct(), "contaminated"))
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
