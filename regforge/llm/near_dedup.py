@@ -1,12 +1,14 @@
 """MinHash near-dedup with sequential Bayesian verification.
 
 1. Each text becomes its set of five-word shingles, hashed, and a MinHash signature.
-   Texts with equal sets form a class; only classes go on.
+   Texts with equal sets form a class; only its band hashes are kept, and only classes go on.
 2. Banding: classes that share a band of the signature meet in a bucket.
-3. In rounds, each bucket picks pairs of classes that are not yet connected. Small buckets
-   pair all their components; larger ones pair every class with a hub that then leaves the
-   bucket, and stay for the next round. No bucket is ever expanded into all its pairs, and
-   no bucket ends before each of its classes has met or joined all others.
+3. In rounds, each bucket picks hubs among the classes outside its largest component, and
+   pairs them with the classes of other components. Hubs then leave the bucket. A bucket
+   with few classes outside takes them all as hubs and is done; others draw a number that
+   doubles with the round. Connected classes are not compared again, so a bucket of near
+   copies costs pairs in proportion to its size, and no bucket ends before each of its
+   classes has met or joined all others.
 4. A pair's signatures are compared batch by batch. It is pruned as soon as the posterior
    probability (uniform prior) that its similarity reaches the threshold is below
    ``MISS``. Survivors are compared on their full sets.
@@ -29,16 +31,19 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from regforge.llm.common import staged, text_of
+from regforge.functions.columns import explode_rows
+from regforge.llm.common import small_batches, staged, text_of
 from regforge.llm.components import connected_components
 from regforge.llm.tokens import hash_words, mix, shingle_set
 
 HASHES = 256
-BAND_ROWS = 7
-BANDS = HASHES // BAND_ROWS
+#: The largest chance that the bands miss a pair at the threshold.
+BAND_MISS = 1e-5
 BATCH = 32
 MISS = 1e-6
-SMALL_BUCKET = 6
+BROADCAST_ROWS = 1_000_000
+FEW = 12
+HUBS = 4
 _FACTORS = np.random.default_rng(7).integers(1, 2**63, HASHES // 2, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 
 
@@ -68,55 +73,58 @@ def class_of(shingles: np.ndarray) -> int | None:
     return int(mix(mix(shingles).sum(keepdims=True) + np.uint64(len(shingles)))[0].view(np.int64))
 
 
-def _sketch(size: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _sketch(size: int, height: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in _slices(batches):
         words, bounds = hash_words(_texts(batch.column("text")))
-        n, cls, signatures = [], [], []
+        n, cls, bands = [], [], []
         for i in range(batch.num_rows):
             found = shingle_set(words[bounds[i] : bounds[i + 1]], size)
             n.append(len(found))
             cls.append(class_of(found))
-            signatures.append(signature(found).tobytes() if len(found) else None)
+            bands.append(band_keys(signature(found), height) if len(found) else None)
         yield pa.RecordBatch.from_arrays(
-            [batch.column("doc_id"), pa.array(n, pa.int64()), pa.array(cls, pa.int64()), pa.array(signatures, pa.binary())],
-            ["doc_id", "n", "cls", "signature"],
+            [batch.column("doc_id"), pa.array(n, pa.int64()), pa.array(cls, pa.int64()), pa.array(bands, pa.list_(pa.int64()))],
+            ["doc_id", "n", "cls", "bands"],
         )
 
 
-def sketches(docs: DataFrame, size: int = 5) -> DataFrame:
-    """(doc_id, n, cls, signature) per row; cls and signature are NULL without words."""
+def sketches(docs: DataFrame, percent: int = 85, size: int = 5) -> DataFrame:
+    """(doc_id, n, cls, bands) per row; cls and bands are NULL without words."""
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_of().alias("text"))
-    return rows.mapInArrow(functools.partial(_sketch, size), "doc_id long, n long, cls long, signature binary")
+    return rows.mapInArrow(functools.partial(_sketch, size, band_rows(percent)), "doc_id long, n long, cls long, bands array<long>")
 
 
-def _sets(size: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _facts(size: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in _slices(batches):
         words, bounds = hash_words(_texts(batch.column("text")))
         sets = [shingle_set(words[bounds[i] : bounds[i + 1]], size) for i in range(batch.num_rows)]
         # A repeated id brings texts of other classes along.
         fits = pa.array([class_of(s) == c for s, c in zip(sets, batch.column("cls").to_pylist(), strict=True)], pa.bool_())
-        out = pa.RecordBatch.from_arrays([batch.column("cls"), pa.array([s.tobytes() for s in sets], pa.binary())], ["cls", "shingles"])
-        yield out.filter(fits)
+        found = [pa.array([x.tobytes() for x in column], pa.binary()) for column in (map(signature, sets), sets)]
+        yield pa.RecordBatch.from_arrays([batch.column("cls"), *found], ["cls", "signature", "shingles"]).filter(fits)
 
 
-def _bands(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    salt = np.arange(BANDS, dtype=np.uint64)
-    weights = np.random.default_rng(11).integers(1, 2**63, BAND_ROWS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
-    for batch in batches:
-        rows = np.frombuffer(b"".join(batch.column("signature").to_pylist()), np.uint32).reshape(-1, HASHES)
-        bands = rows[:, : BANDS * BAND_ROWS].reshape(len(rows), BANDS, BAND_ROWS).astype(np.uint64)
-        keys = mix(mix((bands * weights).sum(axis=2)) + salt[None, :])
-        cls, n = (batch.column(c).to_numpy() for c in ("cls", "n"))
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(keys.reshape(-1).view(np.int64)), pa.array(np.repeat(cls, BANDS)), pa.array(np.repeat(n, BANDS))], ["bucket", "cls", "n"]
-        )
+def band_rows(percent: int) -> int:
+    """The most rows per band that keep the chance of a miss within ``BAND_MISS``."""
+    fits = [r for r in range(1, 33) if (1 - (percent / 100) ** r) ** (HASHES // r) <= BAND_MISS]
+    return max(fits, default=1)
+
+
+_WEIGHTS = np.random.default_rng(11).integers(1, 2**63, 32, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+
 
+def band_keys(minima: np.ndarray, height: int) -> np.ndarray:
+    """One hash per band of ``height`` minima."""
+    count = HASHES // height
+    bands = minima[: count * height].reshape(count, height).astype(np.uint64)
+    return mix(mix((bands * _WEIGHTS[:height]).sum(axis=1)) + np.arange(count, dtype=np.uint64)).view(np.int64)
 
-def buckets(classes: DataFrame) -> DataFrame:
+
+def buckets(rows: DataFrame) -> DataFrame:
     """(bucket, cls, n) for the buckets in which two or more classes meet."""
-    rows = staged(classes.select("cls", "n", "signature").mapInArrow(_bands, "bucket long, cls long, n long"), "bands")
-    shared = rows.groupBy("bucket").agg(F.count(F.lit(1)).alias("met")).filter("met > 1")
-    return rows.join(shared.select("bucket"), "bucket")
+    every = explode_rows(rows.filter("cls is not null"), "bands", "bucket", keep=["cls", "n"])
+    shared = every.groupBy("bucket").agg(F.min("cls").alias("low"), F.max("cls").alias("high")).filter("low <> high")
+    return every.join(shared.select("bucket"), "bucket").select("bucket", "cls", "n").distinct()
 
 
 @functools.lru_cache(maxsize=8)
@@ -158,61 +166,68 @@ def _compare(percent: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Rec
         yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
 
-def verify(pairs: DataFrame, classes: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """The pairs (a, b) of classes whose full sets are similar enough."""
+def verify(pairs: DataFrame, facts: DataFrame, percent: int) -> DataFrame:
+    """The pairs (a, b) of classes whose full sets are similar enough, staged."""
     for end in "ab":
-        pairs = pairs.join(classes.select(F.col("cls").alias(end), F.col("signature").alias("s" + end)), end)
+        pairs = pairs.join(facts.select(F.col("cls").alias(end), F.col("signature").alias("s" + end)), end)
     rest = staged(pairs.mapInArrow(functools.partial(_prune, percent), "a long, b long"), "pairs-alive")
     for end in "ab":
-        rest = rest.join(sets.select(F.col("cls").alias(end), F.col("shingles").alias("x" + end)), end)
-    return rest.mapInArrow(functools.partial(_compare, percent), "a long, b long")
+        rest = rest.join(facts.select(F.col("cls").alias(end), F.col("shingles").alias("x" + end)), end)
+    with small_batches(pairs.sparkSession, 256):
+        return staged(rest.mapInArrow(functools.partial(_compare, percent), "a long, b long"), "pairs-linked")
 
 
 def _round_pairs(members: DataFrame, turn: int) -> tuple[DataFrame, DataFrame]:
-    """Pairs to compare in this round, and the members that go on to the next."""
-    rank = F.struct(F.xxhash64("cls", F.lit(turn)).alias("rank"), F.col("cls").alias("cls"), F.col("comp").alias("comp"), F.col("n").alias("n"))
-    state = (
-        members.groupBy("bucket")
-        .agg(F.count(F.lit(1)).alias("size"), F.min("comp").alias("low"), F.max("comp").alias("high"), F.min(rank).alias("hub"))
-        .filter("low <> high")
-        .select("bucket", "size", "hub")
-    )
+    """Pairs to compare in this round, and the members (staged) that go on to the next."""
+    parts = members.groupBy("bucket", "comp").agg(F.count(F.lit(1)).alias("size"))
+    state = parts.groupBy("bucket").agg(F.max(F.struct("size", "comp")).alias("top"), F.sum("size").alias("all"), F.count(F.lit(1)).alias("parts"))
+    state = state.filter("parts > 1").select("bucket", F.col("top.comp").alias("top"), (F.col("all") - F.col("top.size")).alias("outside"))
     live = members.join(state, "bucket")
-    large = live.filter(F.col("size") > SMALL_BUCKET).filter("cls <> hub.cls")
-    star = large.filter("comp <> hub.comp").selectExpr("cls as a", "hub.cls as b", "n as na", "hub.n as nb")
-    small = live.filter(F.col("size") <= SMALL_BUCKET).select("bucket", "cls", "comp", "n")
-    other = small.selectExpr("bucket", "cls as cls2", "comp as comp2", "n as n2")
-    inner = small.join(other, "bucket").filter("cls < cls2 and comp <> comp2").selectExpr("cls as a", "cls2 as b", "n as na", "n2 as nb")
-    pairs = star.union(inner).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"), F.least("na", "nb").alias("small"), F.greatest("na", "nb").alias("great"))
-    return pairs.distinct(), large.select("bucket", "cls", "n")
+    done = F.col("outside") <= FEW
+    drawn = F.pmod(F.xxhash64("cls", "bucket", F.lit(turn)), F.lit(1 << 20)) < F.lit(float(HUBS << min(turn, 40))) / F.col("outside") * (1 << 20)
+    live = staged(live.withColumn("done", done).withColumn("hub", (F.col("comp") != F.col("top")) & (done | drawn)), "members")
+    hubs = live.filter("hub").selectExpr("bucket", "cls as hub_cls", "comp as hub_comp", "n as hub_n")
+    pairs = live.join(hubs, "bucket").filter("comp <> hub_comp").select(
+        F.least("cls", "hub_cls").alias("a"), F.greatest("cls", "hub_cls").alias("b"), F.least("n", "hub_n").alias("small"), F.greatest("n", "hub_n").alias("great")
+    )
+    return pairs, live.filter("not done and not hub").select("bucket", "cls", "n", "comp")
+
+
+def _renamed(rows: DataFrame, column: str, roots: DataFrame) -> DataFrame:
+    """``rows`` with the root of ``column`` in its place, where it has one."""
+    to = roots.select(F.col("node").alias(column), F.col("root").alias("root_of"))
+    return rows.join(to, column, "left").withColumn(column, F.coalesce("root_of", column)).drop("root_of")
 
 
 def near_duplicates(docs: DataFrame, percent: int = 85, size: int = 5) -> DataFrame:
     """doc_id, n_shingles, component_id and kept per row, by links of ``percent`` or more."""
-    rows = staged(sketches(docs, size), "sketches")
-    classes = staged(
-        rows.filter("cls is not null").groupBy("cls").agg(F.min("doc_id").alias("doc_id"), F.first("n").alias("n"), F.first("signature").alias("signature")),
-        "classes",
-    )
-    members = staged(buckets(classes), "buckets")
-    wanted = members.select("cls").distinct().join(classes.select("cls", "doc_id"), "cls")
-    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_of().alias("text"))
-    same = texts.join(wanted, texts.doc_id.eqNullSafe(wanted.doc_id)).select("cls", "text")
-    sets = staged(same.mapInArrow(functools.partial(_sets, size), "cls long, shingles binary").dropDuplicates(["cls"]), "sets")
+    rows = staged(sketches(docs, percent, size), "sketches")
+    members = staged(buckets(rows), "buckets")
+    wanted = members.select("cls").distinct()
+    classes = rows.filter("cls is not null").groupBy("cls").agg(F.min("doc_id").alias("doc_id"))
+    met = staged(classes.join(wanted, "cls"), "met")
+    # Two numbers per class; beyond the bound the texts are joined by shuffle.
+    few = F.broadcast(met) if met.count() <= BROADCAST_ROWS else met
+    texts = docs.select(F.col("doc_id").cast("long").alias("id"), text_of().alias("text"))
+    same = texts.join(few, F.col("id").eqNullSafe(F.col("doc_id"))).select("cls", "text")
+    facts = same.mapInArrow(functools.partial(_facts, size), "cls long, signature binary, shingles binary")
+    facts = staged(facts.dropDuplicates(["cls"]), "facts")
     # Rows that share an id are one document.
     several = rows.filter("cls is not null").groupBy("doc_id").agg(F.min("cls").alias("a"), F.max("cls").alias("top")).filter("a <> top")
-    links = staged(rows.join(several, rows.doc_id.eqNullSafe(several.doc_id)).selectExpr("cls as a", "a as b").filter("a <> b").distinct(), "links")
-    comp, turn = connected_components(links), 0
+    found = staged(rows.join(several, rows.doc_id.eqNullSafe(several.doc_id)).selectExpr("cls as a", "a as b").filter("a <> b"), "links")
+    roots, turn = connected_components(found), 0
+    members = _renamed(members.withColumn("comp", F.col("cls")), "comp", roots)
     while not members.isEmpty():
-        seen = members.join(comp.withColumnRenamed("node", "cls"), "cls", "left").withColumn("comp", F.coalesce("root", "cls"))
-        pairs, rest = _round_pairs(staged(seen.select("bucket", "cls", "n", "comp"), "members"), turn)
-        pairs = staged(pairs.filter(F.col("small") * 100 >= F.col("great") * percent).select("a", "b"), "pairs")
-        found = staged(verify(pairs, classes, sets, percent), "links")
-        if not found.isEmpty():
-            links = links.union(found)
-            comp = connected_components(links)
-        members = staged(rest, "members")
+        pairs, rest = _round_pairs(members, turn)
+        pairs = pairs.filter(F.col("small") * 100 >= F.col("great") * percent).select("a", "b").distinct()
+        found = verify(pairs, facts, percent)
+        for end in "ab":
+            found = _renamed(found, end, roots)
+        moved = connected_components(found)
+        members = staged(_renamed(rest, "comp", moved), "members")
+        roots = staged(_renamed(roots, "root", moved).unionByName(moved.join(roots.select("node"), "node", "left_anti")), "roots")
         turn += 1
+    comp = roots
     named = rows.select("doc_id", "n", "cls").join(comp.withColumnRenamed("node", "cls"), "cls", "left")
     named = staged(named.select("doc_id", "n", "cls", F.coalesce("root", "cls").alias("root")), "named")
     lowest = named.filter("root is not null").groupBy("root").agg(F.min("doc_id").alias("component_id"))
