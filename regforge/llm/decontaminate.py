@@ -24,7 +24,8 @@ from regforge.llm.common import staged, text_of
 
 WINDOW = 8
 COVER = 0.25
-#: Beyond this many rows the benchmark's windows are joined by shuffle, not broadcast.
+#: Beyond this many rows windows of the benchmark and ids of matched documents are joined by
+#: shuffle, not broadcast.
 BROADCAST_ROWS = 500_000
 NAME, NUMBER, UNIT = "\x01", "\x02", "\x03"
 UNITS = (
@@ -88,7 +89,9 @@ def contaminated_documents(docs: DataFrame, benchmark: DataFrame, cover: float =
     found = explode_rows(texts, windows(template_hashes(canonical_words(F.col("text")))), "window", keep=["doc_id", "copy"], position="at")
     found = staged(found.join(keys, "window"), "doc-windows")
     # Only the texts with a match are read again, for the values of their slots.
-    matched = found.select("doc_id", "copy").distinct()
+    matched = staged(found.select("doc_id", "copy").distinct(), "matched-docs")
+    if matched.count() <= BROADCAST_ROWS:
+        matched = F.broadcast(matched)
     again = texts.join(matched, texts.doc_id.eqNullSafe(matched.doc_id) & (texts.copy == matched.copy), "left_semi").dropDuplicates(["doc_id", "copy"])
     words = staged(again.select(F.col("doc_id").alias("id"), F.col("copy").alias("id_copy"), canonical_words(F.col("text")).alias("words")), "doc-words")
     part = _parts(F.col("words"), F.col("at"))
