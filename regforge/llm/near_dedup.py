@@ -42,8 +42,10 @@ BAND_MISS = 1e-5
 BATCH = 32
 MISS = 1e-6
 BROADCAST_ROWS = 1_000_000
-FEW = 12
-HUBS = 4
+#: Texts that are handed to Python at a time.
+TEXT_ROWS = 500
+FEW = 16
+HUBS = 6
 _FACTORS = np.random.default_rng(7).integers(1, 2**63, HASHES // 2, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 
 
@@ -170,7 +172,8 @@ def verify(pairs: DataFrame, facts: DataFrame, percent: int) -> DataFrame:
     """The pairs (a, b) of classes whose full sets are similar enough, staged."""
     for end in "ab":
         pairs = pairs.join(facts.select(F.col("cls").alias(end), F.col("signature").alias("s" + end)), end)
-    rest = staged(pairs.mapInArrow(functools.partial(_prune, percent), "a long, b long"), "pairs-alive")
+    with small_batches(pairs.sparkSession, 4 * TEXT_ROWS):
+        rest = staged(pairs.mapInArrow(functools.partial(_prune, percent), "a long, b long"), "pairs-alive")
     for end in "ab":
         rest = rest.join(facts.select(F.col("cls").alias(end), F.col("shingles").alias("x" + end)), end)
     with small_batches(pairs.sparkSession, 256):
@@ -184,7 +187,8 @@ def _round_pairs(members: DataFrame, turn: int) -> tuple[DataFrame, DataFrame]:
     state = state.filter("parts > 1").select("bucket", F.col("top.comp").alias("top"), (F.col("all") - F.col("top.size")).alias("outside"))
     live = members.join(state, "bucket")
     done = F.col("outside") <= FEW
-    drawn = F.pmod(F.xxhash64("cls", "bucket", F.lit(turn)), F.lit(1 << 20)) < F.lit(float(HUBS << min(turn, 40))) / F.col("outside") * (1 << 20)
+    # The draw does not depend on the bucket, so the buckets of one group share their hubs and pairs.
+    drawn = F.pmod(F.xxhash64("cls", F.lit(turn)), F.lit(1 << 20)) < F.lit(float(HUBS << min(turn, 40))) / F.col("outside") * (1 << 20)
     live = staged(live.withColumn("done", done).withColumn("hub", (F.col("comp") != F.col("top")) & (done | drawn)), "members")
     hubs = live.filter("hub").selectExpr("bucket", "cls as hub_cls", "comp as hub_comp", "n as hub_n")
     pairs = live.join(hubs, "bucket").filter("comp <> hub_comp").select(
@@ -201,7 +205,9 @@ def _renamed(rows: DataFrame, column: str, roots: DataFrame) -> DataFrame:
 
 def near_duplicates(docs: DataFrame, percent: int = 85, size: int = 5) -> DataFrame:
     """doc_id, n_shingles, component_id and kept per row, by links of ``percent`` or more."""
-    rows = staged(sketches(docs, percent, size), "sketches")
+    spark = docs.sparkSession
+    with small_batches(spark, TEXT_ROWS):
+        rows = staged(sketches(docs, percent, size), "sketches")
     members = staged(buckets(rows), "buckets")
     wanted = members.select("cls").distinct()
     classes = rows.filter("cls is not null").groupBy("cls").agg(F.min("doc_id").alias("doc_id"))
@@ -211,7 +217,8 @@ def near_duplicates(docs: DataFrame, percent: int = 85, size: int = 5) -> DataFr
     texts = docs.select(F.col("doc_id").cast("long").alias("id"), text_of().alias("text"))
     same = texts.join(few, F.col("id").eqNullSafe(F.col("doc_id"))).select("cls", "text")
     facts = same.mapInArrow(functools.partial(_facts, size), "cls long, signature binary, shingles binary")
-    facts = staged(facts.dropDuplicates(["cls"]), "facts")
+    with small_batches(spark, TEXT_ROWS):
+        facts = staged(facts.dropDuplicates(["cls"]), "facts")
     # Rows that share an id are one document.
     several = rows.filter("cls is not null").groupBy("doc_id").agg(F.min("cls").alias("a"), F.max("cls").alias("top")).filter("a <> top")
     found = staged(rows.join(several, rows.doc_id.eqNullSafe(several.doc_id)).selectExpr("cls as a", "a as b").filter("a <> b"), "links")
