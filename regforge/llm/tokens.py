@@ -12,7 +12,7 @@ import functools
 
 import numpy as np
 
-PIECE = 1 << 20
+PIECE = 1 << 18
 _BLANKS = np.zeros(256, bool)
 _BLANKS[[0x20, *range(0x09, 0x0E)]] = True
 _LOWER = np.arange(256, dtype=np.uint8)
@@ -51,7 +51,7 @@ def _words(data: bytes) -> tuple[np.ndarray, np.ndarray]:
     edge = np.flatnonzero(blank[1:] != blank[:-1]) + 1
     edge = np.concatenate([[0] if not blank[0] else [], edge, [len(raw)] if not blank[-1] else []]).astype(np.int64)
     starts, ends = edge[::2], edge[1::2]
-    room = 1 << max(20, (len(raw) + 1).bit_length())
+    room = 1 << max(18, (len(raw) + 1).bit_length())
     with np.errstate(over="ignore"):
         sums = np.zeros(len(raw) + 1, np.uint64)
         np.cumsum(_VALUE[raw] * _powers(_BASE, room)[: len(raw)], out=sums[1:])

@@ -84,8 +84,9 @@ def _count_characters(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBa
     total = np.zeros(ALPHABET**3, np.int64)
     for batch in batches:
         group, size = [], 0
-        texts = batch.column("text").to_pylist()
-        for i, text in enumerate(texts):
+        texts = batch.column("text")
+        for i, value in enumerate(texts):
+            text = value.as_py()
             for at in range(0, len(text), 1 << 20):
                 group.append(text[max(0, at - 2) : at + (1 << 20)] if at else text[: 1 << 20])
                 size += len(group[-1])
@@ -184,7 +185,7 @@ class Reader:
     """The words of texts, with the readings of earlier runs at hand."""
 
     def __init__(self, model: np.ndarray):
-        self.read = functools.lru_cache(maxsize=50_000)(lambda run: tuple(readings(run, model)))
+        self.read = functools.lru_cache(maxsize=20_000)(lambda run: tuple(readings(run, model)))
 
     def words(self, text: str) -> set[str]:
         """The words of the text and of its restored runs, lower-cased."""
@@ -220,9 +221,9 @@ def _count_features(model: np.ndarray, batches: Iterator[pa.RecordBatch]) -> Ite
         return out
 
     for batch in batches:
-        for text, label in zip(batch.column("text").to_pylist(), batch.column("label").to_pylist(), strict=True):
-            counts[label].update(features(reader.words(text)))
-            if len(counts[0]) + len(counts[1]) > 400_000:
+        for text, label in zip(batch.column("text"), batch.column("label").to_pylist(), strict=True):
+            counts[label].update(features(reader.words(text.as_py())))
+            if len(counts[0]) + len(counts[1]) > 250_000:
                 yield flush()
     yield flush()
 
@@ -305,7 +306,8 @@ def fit(docs: DataFrame, labels: DataFrame, limit: int = MAX_LABELS) -> Toxicity
 def _score(model: ToxicityModel, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     reader = Reader(model.characters)
     for batch in batches:
-        scores = [model.score(reader, t or "") for t in batch.column("__text").to_pylist()]
+        texts = batch.column("__text")
+        scores = [model.score(reader, t.as_py() or "") for t in texts]
         rest = [i for i, name in enumerate(batch.schema.names) if name != "__text"]
         yield pa.RecordBatch.from_arrays([*[batch.column(i) for i in rest], pa.array(scores, pa.float64())], [*[batch.schema.names[i] for i in rest], "__score"])
 
