@@ -2,8 +2,9 @@
 
 Numbers, units after numbers, and names (capitalised words after a lower-case word or a
 comma) become typed slots. A template window is ``WINDOW`` words in a row with slots in
-place of their values; a shorter item is one window. Documents and benchmark items meet
-in a hash join on windows. A match counts only if its slots are consistent: two slots of
+place of their values; a shorter item is one window, and documents have windows of the
+lengths of such items too, from ``LEAST_INSIDE`` words on. An item of fewer words is only
+found as a whole text. Documents and benchmark items meet in a hash join on windows. A match counts only if its slots are consistent: two slots of
 the window have equal values in the document just where they have in the item. So a
 question whose numbers or names were exchanged is found, a text that merely has the
 same shape with other repetitions is not. Windows with fewer than half of their words
@@ -23,6 +24,8 @@ from regforge.functions.columns import bind, explode_rows
 from regforge.llm.common import staged, text_of
 
 WINDOW = 8
+#: Words of the shortest item that is looked for inside longer texts.
+LEAST_INSIDE = 3
 COVER = 0.25
 #: Beyond this many rows windows of the benchmark and ids of matched documents are joined by
 #: shuffle, not broadcast.
@@ -68,8 +71,16 @@ def shape(slots: Column) -> Column:
     return bind(slots, lambda all_: F.transform(all_, lambda s: F.array_position(all_, s)))
 
 
-def _parts(words: Column, at: Column) -> dict[str, Column]:
-    part = F.slice(words, at + 1, WINDOW)
+def all_windows(texts: DataFrame, hashes: Column, lengths: list[int], keep: list[str]) -> DataFrame:
+    """The windows of ``WINDOW`` words and those of ``lengths`` words: window, at and len."""
+    sizes = [WINDOW, *lengths]
+    by_size = bind(hashes, lambda h: F.array(*[F.when((F.size(h) >= n) | F.lit(n == WINDOW), windows(h, n)) for n in sizes]))
+    rows = explode_rows(texts, by_size, "all_of", keep=keep, position="which").withColumn("len", F.get(F.array(*map(F.lit, sizes)), "which"))
+    return explode_rows(rows, "all_of", "window", keep=[*keep, "len"], position="at")
+
+
+def _parts(words: Column, at: Column, size: Column | int = WINDOW) -> dict[str, Column]:
+    part = F.slice(words, at + 1, size)
     slots = F.filter(part, _is_slot)
     return {"slots": slots, "shape": shape(slots), "plain": F.size(part) - F.size(slots), "all": F.size(part)}
 
@@ -82,11 +93,14 @@ def contaminated_documents(docs: DataFrame, benchmark: DataFrame, cover: float =
     part = _parts(F.col("words"), F.col("item_at"))
     wanted = staged(places.select("item_id", "item_at", "window", *[v.alias(f"item_{k}") for k, v in part.items()]), "item-windows")
     total = wanted.groupBy("item_id").agg(F.countDistinct("window").alias("windows"))
+    # At most five numbers.
+    sizes = wanted.filter((F.col("item_all") >= LEAST_INSIDE) & (F.col("item_all") < WINDOW)).select("item_all").distinct()
+    lengths = sorted(r["item_all"] for r in sizes.collect())
     keys = wanted.select("window").distinct()
     if keys.count() <= BROADCAST_ROWS:
         keys = F.broadcast(keys)
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_of().alias("text"), F.xxhash64(text_of()).alias("copy"))
-    found = explode_rows(texts, windows(template_hashes(canonical_words(F.col("text")))), "window", keep=["doc_id", "copy"], position="at")
+    found = all_windows(texts, template_hashes(canonical_words(F.col("text"))), lengths, ["doc_id", "copy"])
     found = staged(found.join(keys, "window"), "doc-windows")
     # Only the texts with a match are read again, for the values of their slots.
     matched = staged(found.select("doc_id", "copy").distinct(), "matched-docs")
@@ -94,7 +108,7 @@ def contaminated_documents(docs: DataFrame, benchmark: DataFrame, cover: float =
         matched = F.broadcast(matched)
     again = texts.join(matched, texts.doc_id.eqNullSafe(matched.doc_id) & (texts.copy == matched.copy), "left_semi").dropDuplicates(["doc_id", "copy"])
     words = staged(again.select(F.col("doc_id").alias("id"), F.col("copy").alias("id_copy"), canonical_words(F.col("text")).alias("words")), "doc-words")
-    part = _parts(F.col("words"), F.col("at"))
+    part = _parts(F.col("words"), F.col("at"), F.col("len"))
     seen = found.join(words, found.doc_id.eqNullSafe(words.id) & (found.copy == words.id_copy)).select("doc_id", "copy", "window", *[v.alias(k) for k, v in part.items()])
     seen = seen.groupBy("doc_id", "copy", "window", "slots", "shape", "plain", "all").agg(F.count(F.lit(1)).alias("times"))
     same = F.col("slots") == F.col("item_slots")

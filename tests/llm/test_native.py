@@ -120,3 +120,14 @@ def test_other_numbers_and_names_are_caught(spark, empty):
     by = {r["doc_id"]: r["matched"] for r in contaminated_documents(docs, bench, cover=0.01).filter("item_id = 1").collect()}
     assert by[2] < by[1]
     assert contaminated_documents(empty, bench).count() == 0 and contaminated_documents(docs, bench.limit(0)).count() == 0
+
+
+def test_short_items_are_found_inside_documents(spark):
+    items = [(1, "What is 12 times 7?"), (2, "name the capital of France"), (3, "12 + 7")]
+    texts = [
+        (1, "a quiz for children asks them : what is 12 times 7 ? and then they go home for the day"),
+        (2, "a quiz for children asks them : what is 9 times 4 ? and then they go home for the day"),
+        (3, "now name the capital of France please"), (4, "the numbers 5 + 3 and 9 and 12 + 8 are all in one text here"), (5, "name the capital"),
+    ]
+    bench, docs = spark.createDataFrame(items, "item_id long, text string"), spark.createDataFrame(texts, "doc_id long, text string")
+    assert {(r["doc_id"], r["item_id"]) for r in contaminated_documents(docs, bench).collect()} == {(1, 1), (2, 1), (3, 2)}
