@@ -131,3 +131,22 @@ def test_short_items_are_found_inside_documents(spark):
     ]
     bench, docs = spark.createDataFrame(items, "item_id long, text string"), spark.createDataFrame(texts, "doc_id long, text string")
     assert {(r["doc_id"], r["item_id"]) for r in contaminated_documents(docs, bench).collect()} == {(1, 1), (2, 1), (3, 2)}
+
+
+def test_copies_in_any_case_and_layout_are_found(spark):
+    item = "if a train goes from Paris to Rome in 12 hours and from Rome to Oslo in 30 hours how far is it from Paris to Oslo"
+    texts = [item.lower(), item.title(), item.upper(), item.replace(" Paris", "\n Paris").replace(" Rome", "  Rome").replace(" Oslo", "\t Oslo"), item.replace("12 hours", "12hours")]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    found = contaminated_documents(docs, spark.createDataFrame([(1, item)], "item_id long, text string")).collect()
+    assert len(found) == len(texts) and all(r["matched"] == r["windows"] for r in found)
+
+
+def test_names_that_begin_sentences_are_slots(spark):
+    item = "Alice has 5 apples. Alice buys 3 more apples. Alice then eats 2 apples. How many are left?"
+    texts = [
+        (1, "so here it is. Bruno has 7 apples. Bruno buys 4 more apples. Bruno then eats 6 apples. How many are left?"),
+        (2, "so here it is. Bruno has 7 apples. Carla buys 4 more apples. Diego then eats 6 apples. How many were they?"),
+    ]
+    docs = spark.createDataFrame(texts, "doc_id long, text string")
+    found = contaminated_documents(docs, spark.createDataFrame([(1, item)], "item_id long, text string"), cover=0.5).collect()
+    assert [r["doc_id"] for r in found] == [1]
