@@ -1,7 +1,7 @@
 """Toxicity scores of whole texts, after noisy-channel deobfuscation.
 
-Every suspicious run of characters (substituted letters, letters set apart, letters
-repeated) becomes a lattice: each character may stand for itself, for letters it imitates,
+Every suspicious run of characters (a mark beside a letter, letters set apart, a separator
+inside, letters doubled) becomes a lattice: each character may stand for itself, for letters it imitates,
 for nothing if it only repeats or separates. Viterbi search under a character trigram
 model, counted over all documents, and channel costs finds the likeliest readings. Other
 runs have a single path, themselves, and need no search. The restored words and their
@@ -50,8 +50,14 @@ _SEPARATORS = " ._*~-"
 _LETTER = r"[^\W\d_]"
 _WORD = re.compile(rf"{_LETTER}+")
 #: Letters or marks, each set apart from the next by one separator.
-_APART = re.compile(rf"(?<!\S)(?:[^\W_]|[{_MARKS}])(?:[{re.escape(_SEPARATORS)}](?:[^\W_]|[{_MARKS}])){{2,}}(?!\S)")
-_BLANK = re.compile(r"\s")
+_APART = re.compile(rf"(?<![^\W_])(?:[^\W_]|[{_MARKS}])(?:[{re.escape(_SEPARATORS)}](?:[^\W_]|[{_MARKS}])){{2,}}(?![^\W_])")
+_INNER = re.escape(_SEPARATORS[1:])
+#: A letter doubled, a mark beside a letter, separators between a letter and a letter or mark.
+_ODD = re.compile(
+    rf"({_LETTER})\1|[{_MARKS}]{_LETTER}|{_LETTER}[{_MARKS}]|{_LETTER}[{_INNER}]+(?:{_LETTER}|[{_MARKS}])|[{_MARKS}][{_INNER}]+{_LETTER}"
+)
+#: Signs around a run that are no marks.
+_AROUND = ".,;:?\"'`)[]{}<>“”„‘’«»…"
 #: Longer runs are read in pieces that overlap.
 PIECE, STEP = 64, 40
 _TRAILING = re.compile(r"([^\w\s])\1+$|[.,;:?]+$")
@@ -154,30 +160,28 @@ def readings(run: str, model: np.ndarray, best: int = READINGS) -> list[str]:
 def suspicious(text: str) -> set[str]:
     """The distinct runs of a text that may hide other letters, in pieces.
 
-    A run between blanks is suspicious if a mark comes before a letter or if a letter comes
-    three times; so are single letters that are set apart.
+    A run between blanks is suspicious if, without repeated signs at its end, it has a mark
+    beside a letter, a letter twice in a row, or a separator between letters; so are single
+    letters that are set apart, also between quotes or before punctuation.
     """
     points = np.frombuffer(text.encode("utf-32-le", "replace"), np.uint32)
     if len(points) < 3:
         return set()
     kinds = _KINDS[np.minimum(points, 0xFFFF)]
-    hits = np.zeros(len(points), bool)
-    hits[:-1] = (kinds[:-1] == 8) & (kinds[1:] == 4)
-    hits[:-2] |= (points[:-2] == points[1:-1]) & (points[1:-1] == points[2:]) & (kinds[:-2] == 4)
     apart = (kinds & 3) > 0
     runs: set[str] = set()
     if len(points) >= 5 and (apart[1:-3] & ~apart[2:-2] & apart[3:-1] & ~apart[:-4] & ~apart[4:]).any():
         runs.update(m.group() for m in _APART.finditer(text))
-    done = 0
-    for at in np.flatnonzero(hits).tolist():
-        if at < done:
-            continue
-        start = at
-        while start > done and not text[start - 1].isspace():
-            start -= 1
-        end = _BLANK.search(text, at)
-        done = end.start() if end else len(text)
-        runs.add(text[start:done])
+    # A letter beside the same letter, a separator or a mark is needed in any case.
+    left, right = kinds[:-1], kinds[1:]
+    hits = ((left == 4) & (((right & 10) > 0) | (points[:-1] == points[1:]))) | ((right == 4) & ((left & 10) > 0))
+    blanks = np.flatnonzero(kinds == 1)
+    which = np.unique(np.searchsorted(blanks, np.flatnonzero(hits)))
+    starts, ends = np.append(0, blanks + 1)[which].tolist(), np.append(blanks, len(points))[which].tolist()
+    for token in {text[start:end] for start, end in zip(starts, ends, strict=True)}:
+        run = _TRAILING.sub("", token.strip(_AROUND))
+        if _ODD.search(run):
+            runs.add(run)
     return {r[at : at + PIECE] for r in runs for at in range(0, max(1, len(r) - PIECE + STEP), STEP)}
 
 

@@ -120,3 +120,14 @@ def test_hidden_words_are_restored(spark):
 def test_long_runs_are_read_in_pieces(spark):
     reader = tx.Reader(np.zeros((tx.ALPHABET,) * 3, np.float32))
     assert len(reader.words("a1b" * 5_000)) > 0
+
+
+def test_each_spelling_of_the_channel_is_restored(spark):
+    plain = spark.createDataFrame([(i, "that man is an idiot and a moron , the ass was dumb and a fool or a pathetic clown") for i in range(30)], "doc_id long, text string")
+    reader = tx.Reader(tx.character_model(plain))
+    spelled = {
+        "idi07": "idiot", "a55": "ass", "dum8": "dumb", "foo1": "fool", "iiddiioott": "idiot", "moorroonn": "moron", "id-iot": "idiot",
+        "i.d.i.o.t.": "idiot", "i.d.i.o.t,": "idiot", "i.d.i.o.t!": "idiot", '"i.d.i.o.t"': "idiot", "i d i o t!": "idiot",
+    }
+    assert not [hidden for hidden, word in spelled.items() if word not in reader.words(f"what an {hidden} he is")]
+    assert tx.suspicious("a plain text, with words... and 2024 numbers from 2024-10-12") == set()
