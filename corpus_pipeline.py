@@ -7,18 +7,20 @@ documents linked by a five-word shingle similarity of 0.8 or more, the one with
 id stays; documents that hold a benchmark passage go; the mix repeats or leaves out whole
 documents; the last stage gives every document left its shard and slot.
 
-Rows that repeat an id count as one document in the second stage, and one of them stays.
+Documents are told apart by id and text: different texts under one id, or without an id,
+are different documents. Of rows that repeat both, one stays in the second stage, except
+texts without words under a NULL id, which all stay.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from regforge.llm import toxicity
-from regforge.llm.common import staged, table
+from regforge.llm.common import staged, table, text_of
 from regforge.llm.decontaminate import contaminated_documents
 from regforge.llm.mixing import mixed_documents
 from regforge.llm.near_dedup import near_duplicates
@@ -36,30 +38,44 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return toxicity.scored(docs, model).filter(F.col("__score") < TOXIC).drop("__score")
 
 
-def without(docs: DataFrame, ids: DataFrame) -> DataFrame:
-    """``docs`` but for the documents in ``ids`` (a staged column ``__id``, NULL included).
+def key_of() -> Column:
+    """One number per id and text."""
+    return F.xxhash64(F.col("doc_id").cast("long"), text_of())
 
-    The ids are broadcast up to a counted bound; beyond it the join shuffles.
+
+def without(docs: DataFrame, keys: DataFrame) -> DataFrame:
+    """``docs`` but for the documents in ``keys`` (a staged column ``__id``).
+
+    The keys are broadcast up to a counted bound; beyond it the join shuffles.
     """
-    if ids.count() <= BROADCAST_ROWS:
-        ids = F.broadcast(ids)
-    return docs.join(ids, F.col("doc_id").eqNullSafe(F.col("__id")), "left_anti")
+    if keys.count() <= BROADCAST_ROWS:
+        keys = F.broadcast(keys)
+    return docs.join(keys, key_of() == F.col("__id"), "left_anti")
 
 
 def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    found = near_duplicates(docs, NEAR_PERCENT).groupBy(F.col("doc_id").alias("__id"))
-    found = staged(found.agg(F.max("kept").alias("kept"), F.count(F.lit(1)).alias("n")).filter("not kept or n > 1"), "group-ids")
+    keyed = docs.select(key_of().alias("doc_id"), text_of().alias("text"))
+    found = near_duplicates(keyed, NEAR_PERCENT).groupBy(F.col("doc_id").alias("__id"))
+    found = found.agg(F.max("component_id").alias("component"), F.max("n_shingles").alias("words"), F.count(F.lit(1)).alias("n"))
+    ids = docs.select(key_of().alias("__id"), F.col("doc_id").cast("long").alias("id")).distinct()
+    found = staged(found.join(ids, "__id"), "group-keys")
+    # The lowest id of a component stays, a NULL id only if there is no other.
+    first = F.min(F.struct(F.col("id").isNull().alias("none"), "id", "__id")).alias("first")
+    kept = found.filter("words > 0").groupBy("component").agg(first).select(F.col("first.__id").alias("kept"))
+    found = found.join(kept, F.col("__id") == F.col("kept"), "left").withColumn("stays", (F.col("words") == 0) | F.col("kept").isNotNull())
+    found = staged(found.filter("not stays or (n > 1 and (words > 0 or id is not null))").select("__id", "stays"), "group-ids")
     single = without(docs, found.select("__id"))
-    repeated = found.filter("kept").select("__id")
+    repeated = found.filter("stays").select("__id")
     if repeated.isEmpty():
         return single
-    several = docs.join(repeated, F.col("doc_id").eqNullSafe(F.col("__id")), "left_semi")
-    one = several.groupBy("doc_id").agg(F.min_by(F.struct(*docs.columns), F.struct(F.xxhash64("text"), F.col("text"))).alias("__row"))
+    several = docs.withColumn("__key", key_of()).join(repeated, F.col("__key") == F.col("__id"), "left_semi")
+    one = several.groupBy("__key").agg(F.min_by(F.struct(*docs.columns), F.xxhash64(*docs.columns)).alias("__row"))
     return single.unionByName(one.select("__row.*"))
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    found = contaminated_documents(docs, table(spark, sf_dir, "benchmark"))
+    keyed = docs.select(key_of().alias("doc_id"), "text")
+    found = contaminated_documents(keyed, table(spark, sf_dir, "benchmark"))
     return without(docs, staged(found.select(F.col("doc_id").alias("__id")).distinct(), "contaminated"))
 
 

@@ -45,3 +45,14 @@ def test_repeated_and_null_ids_leave_one_row(spark):
     docs = spark.createDataFrame(rows, "doc_id long, text string").selectExpr("*", "'s' as source", "1 as __n")
     out = corpus_pipeline.one_of_each_group(spark, docs, TINY)
     assert sorted(str(r["doc_id"]) for r in out.collect()) == ["1", "3", "4", "None"] and out.columns == docs.columns
+
+
+def test_different_texts_under_null_or_repeated_ids_stay(spark):
+    texts = [f"the {w} text number {i} stands alone and says {w} twice" for i, w in enumerate("red blue green black white brown".split())]
+    rows = [(1, texts[0]), (1, texts[1]), (2, texts[2]), (None, texts[3]), (None, texts[4]), (None, texts[2]), (None, texts[3]), (None, None), (None, "")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").selectExpr("*", "'s' as source", "1 as __n")
+    out = [(r["doc_id"], r["text"]) for r in corpus_pipeline.one_of_each_group(spark, docs, TINY).collect()]
+    assert sorted(out, key=str) == sorted([(1, texts[0]), (1, texts[1]), (2, texts[2]), (None, texts[3]), (None, texts[4]), (None, None), (None, "")], key=str)
+    passage = spark.read.parquet(f"{TINY}/benchmark.parquet").filter("text is not null").first()["text"]
+    some = spark.createDataFrame([(None, passage), (None, texts[0]), (1, passage), (1, texts[1])], "doc_id long, text string")
+    assert {r["text"] for r in corpus_pipeline.drop_contaminated(spark, some, TINY).collect()} == {texts[0], texts[1]}
