@@ -127,6 +127,7 @@ def readings(run: str, model: np.ndarray, best: int = READINGS) -> list[str]:
     A state is the last two letters read; each keeps its ``best`` paths.
     """
     run = _TRAILING.sub("", run)
+    flat = memoryview(np.ascontiguousarray(model).reshape(-1))
     states: dict[tuple[int, int], list[tuple[float, str]]] = {(0, 0): [(0.0, "")]}
     spaced = len(run) > 4 and all(c in _SEPARATORS for c in run[1::2])
     before = ""
@@ -144,14 +145,16 @@ def readings(run: str, model: np.ndarray, best: int = READINGS) -> list[str]:
             if ch == before:
                 arcs.append(("", -1.0))
         arcs += [(c, -0.7) for c in IMITATES.get(ch, "")]
+        coded = [(out, cost, int(_CODES[min(ord(out), 0xFFFF)]) if out else -1) for out, cost in arcs]
         after: dict[tuple[int, int], list[tuple[float, str]]] = {}
         for (u, v), paths in states.items():
-            for out, cost in arcs:
-                code = int(_CODES[min(ord(out), 0xFFFF)]) if out else -1
-                state, gain = ((v, code), cost + float(model[u, v, code])) if out else ((u, v), cost)
+            for out, cost, code in coded:
+                state, gain = ((v, code), cost + flat[(u * ALPHABET + v) * ALPHABET + code]) if out else ((u, v), cost)
                 after.setdefault(state, []).extend((score + gain, path + out) for score, path in paths)
-        states = {s: heapq.nlargest(best, {p: c for c, p in sorted(paths)}.items(), key=lambda x: x[1]) for s, paths in after.items()}
-        states = {s: [(c, p) for p, c in paths] for s, paths in states.items()}
+        for s, paths in after.items():
+            if len(paths) > 1:
+                after[s] = [(c, p) for p, c in heapq.nlargest(best, {p: c for c, p in sorted(paths)}.items(), key=lambda x: x[1])]
+        states = after
         before = ch
     ends = [(score + float(model[u, v, 0]), path) for (u, v), paths in states.items() for score, path in paths]
     return [path for _, path in heapq.nlargest(best, set(ends))]
