@@ -12,6 +12,10 @@ from regforge.functions.columns import as_column, bind, fill
 WHITESPACE = r"[\p{IsWhite_Space}\x1C-\x1F]"
 NON_WHITESPACE = r"[^\p{IsWhite_Space}\x1C-\x1F]"
 NON_WORD = r"[^\p{L}\p{N}_]+"
+#: The characters of ``WHITESPACE`` one by one, for trimming without a regular expression.
+BLANK_CHARACTERS = "".join(
+    chr(c) for c in (*range(0x09, 0x0E), *range(0x1C, 0x21), 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000)
+)
 
 
 def normalized(text: str | Column) -> Column:
@@ -19,19 +23,22 @@ def normalized(text: str | Column) -> Column:
     return F.trim(F.regexp_replace(F.lower(as_column(text)), NON_WORD, " "))
 
 
+def stripped(value: str | Column) -> Column:
+    """Text without whitespace (any) at its ends."""
+    return F.trim(as_column(value).cast("string"), F.lit(BLANK_CHARACTERS))
+
+
 def clean_name(value: str | Column) -> Column:
     """A name without whitespace (any) at its ends; NULL if nothing is left.
 
-    Every side of a join by name goes through it.
+    Every side of a join by name goes through it, once: where the name enters.
     """
-    edges = f"^{WHITESPACE}+|{WHITESPACE}+$"
-    return F.nullif(F.regexp_replace(as_column(value).cast("string"), edges, ""), F.lit(""))
+    return F.nullif(stripped(value), F.lit(""))
 
 
 def folded(text: str | Column) -> Column:
     """Trim (any whitespace) and lower case."""
-    edges = f"^{WHITESPACE}+|{WHITESPACE}+$"
-    return F.lower(F.regexp_replace(as_column(text), edges, ""))
+    return F.lower(stripped(text))
 
 
 def tokens(text: str | Column) -> Column:
@@ -101,9 +108,7 @@ def prompt(
 def response_part(text: str | Column, marker: str = C.RESPONSE_MARKER) -> Column:
     """Text after the last marker, trimmed; the text itself if there is no marker."""
     text = as_column(text)
-    tail = F.regexp_replace(
-        F.substring_index(text, marker, -1), f"^{WHITESPACE}+|{WHITESPACE}+$", ""
-    )
+    tail = stripped(F.substring_index(text, marker, -1))
     return F.when(F.contains(text, F.lit(marker)), tail).otherwise(text)
 
 

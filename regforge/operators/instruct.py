@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from regforge import constants as C
 from regforge.functions.columns import as_column, blank_to_null, fill
-from regforge.functions.text import NON_WHITESPACE, WHITESPACE, clean_name, tokens
+from regforge.functions.text import NON_WHITESPACE, WHITESPACE, stripped, tokens
 
 
 def _row(instruction: Column, input_text: Column, output: Column, task: str) -> Column:
@@ -48,7 +48,7 @@ def instruction_rows(
         optional(structure).alias("_structure"),
         optional(reactions).alias("_reactions"),
         optional(reason).alias("_reason"),
-    ).filter((clean_name("_name").isNotNull()) & (F.col("_name") != C.UNKNOWN_NAME))
+    ).filter((stripped("_name") != "") & (F.col("_name") != C.UNKNOWN_NAME))
 
     def text(template: str, **other: Column) -> Column:
         return fill(template, **{**values, **other})
@@ -80,7 +80,7 @@ def instruction_rows(
                  C.TASK_IDENTIFY),
         ),
         F.when(
-            clean_name(values["reason"]).isNotNull(),
+            stripped(values["reason"]) != "",
             _row(text(C.FAILURE_QUESTION), with_structure, text(C.FAILURE_ANSWER), C.TASK_FAILURE),
         ),
     ]

@@ -39,7 +39,7 @@ def names_from_columns(
 ) -> DataFrame:
     """Names of a listing: every present name column, one source and one status.
 
-    All columns are stacked in one pass over the table.
+    All columns are stacked in one pass over the table. Names are clean, blank ones dropped.
     """
     present = [name for name in columns if name in df.columns]
     status = F.lit(C.LISTED_STATUS) if status is None else as_column(status)
@@ -50,8 +50,8 @@ def names_from_columns(
         [status.cast("string").alias("status")],
     )
     return stacked.select(
-        "drug_name", F.lit(source).alias("source"), "status", F.lit(0).cast("long").alias("position")
-    )
+        clean_name("drug_name").alias("drug_name"), F.lit(source).alias("source"), "status", F.lit(0).cast("long").alias("position")
+    ).filter(F.col("drug_name").isNotNull())
 
 
 def names_from_lists(
@@ -72,12 +72,13 @@ def names_from_lists(
     return rows.select("drug_name", F.lit(source).alias("source"), "status", "position")
 
 
-def name_dictionary(sources: Sequence[DataFrame], order: Sequence[str]) -> DataFrame:
+def name_dictionary(sources: Sequence[DataFrame], order: Sequence[str], clean: bool = True) -> DataFrame:
     """Union of tagged names to ``(drug_name, source, status)``.
 
     ``order`` ranks the sources: the status is the first non-missing one by (source
     rank, position). Distinct sources are listed alphabetically. A source that ``order``
-    lacks is an error.
+    lacks is an error. ``clean=False`` says that the names already are clean, as
+    ``names_from_columns`` and ``names_from_lists`` return them.
 
     Stage one groups by (name, source, status) with only longs in the buffer: a hash
     aggregate that combines map-side, so a name holding a third of all rows leaves
@@ -87,7 +88,7 @@ def name_dictionary(sources: Sequence[DataFrame], order: Sequence[str]) -> DataF
         raise ValueError(f"more than {_MAX_SOURCES} sources")
     rank = F.coalesce(*[F.when(F.col("source") == name, F.lit(i)) for i, name in enumerate(order)])
     tagged = reduce(DataFrame.unionByName, sources).select(
-        clean_name("drug_name").alias("drug_name"),
+        (clean_name("drug_name") if clean else F.col("drug_name")).alias("drug_name"),
         F.coalesce(rank, F.raise_error(F.concat(F.lit("source without a rank: "), "source")).cast("int")).alias("rank"),
         blank_to_null("status").alias("status"),
         "position",

@@ -58,7 +58,7 @@ def entity_names(
         tagged.append(
             names_from_lists(extracts.trials, names, C.TRIAL_SOURCE, "status", position, separator)
         )
-    return name_dictionary(tagged, [C.REGISTRY_SOURCE, C.LABEL_SOURCE, C.TRIAL_SOURCE])
+    return name_dictionary(tagged, [C.REGISTRY_SOURCE, C.LABEL_SOURCE, C.TRIAL_SOURCE], clean=False)
 
 
 def top_reactions(adverse_events: DataFrame, position: str | Column = "position",
@@ -89,7 +89,9 @@ def unified_table(
 
     Every input is aggregated by name before it is joined, so the joins share one
     partitioning by name; the structure join, the only one that can multiply rows,
-    comes last.
+    comes last. It reads its left side twice, so the joined names are staged before it:
+    with structures this runs a job. That also keeps the filters of later steps from
+    sinking below the aggregates to the names as they came.
     """
     unified = entity_names(
         extracts, names=names, separator=separator, position=position, **listing_options
@@ -104,7 +106,7 @@ def unified_table(
         unified = unified.join(reasons, "drug_name", "left")
     if extracts.structures is not None:
         named = extracts.structures.withColumn("drug_name", clean_name("drug_name"))
-        unified = left_join_many(unified, named, "drug_name")
+        unified = left_join_many(staged(unified), named, "drug_name")
     return unified
 
 

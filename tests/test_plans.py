@@ -10,6 +10,7 @@ from regforge.operators.split import split_counts
 from regforge.plans.datasets import Extracts, build_datasets, unified_table
 from regforge.plans.stages import staged
 from regforge.sources import delimited, registry, trials
+from workloads.queries import QUERIES
 
 
 @pytest.fixture
@@ -149,3 +150,11 @@ def test_from_landed_files_to_written_data(spark, tmp_path):
     sinks.write_jsonl(done.instructions, str(tmp_path / "out"))
     back = spark.read.json(str(tmp_path / "out"))
     assert back.count() == 3 + 2 * 2  # one status row each, a failure row for two
+
+
+@pytest.mark.parametrize("name", ["name_dictionary", "unified_table", "instruction_table"])
+def test_names_are_cleaned_where_they_enter(spark, smoke_folder, name):
+    """No regular expression over names, and few trims: filters of later steps must not repeat them below the joins."""
+    plan = QUERIES[name](spark, smoke_folder)._jdf.queryExecution().optimizedPlan().toString()
+    assert "regexp_replace" not in plan
+    assert plan.count("trim(") <= 30
