@@ -42,5 +42,29 @@ select doc_id,
        doc_id = first_value(doc_id) over (partition by h order by n desc, doc_id) kept,
        h text_sha256
 from d
+""",
+    "op13_hard_negatives": """
+with rows_ as (
+  select vec_id, list_transform(embedding, lambda x: floor(256 * cast(x as double))) v,
+         case when vec_id % 7 = 0 then (label + 1) % 10 else label end label
+  from embeddings
+  where label is not null and embedding is not null
+    and len(list_filter(embedding, lambda x: x is null or isnan(x) or isinf(x))) = 0
+),
+scores as (
+  select a.vec_id anchor_id, a.label, b.vec_id other, b.label other_label,
+         cast(list_sum(list_transform(list_zip(a.v, b.v), lambda p: p[1] * p[2])) as bigint) score
+  from rows_ a join rows_ b on a.vec_id <> b.vec_id
+  where a.vec_id % 100 = 0
+),
+positives as (
+  select anchor_id, other positive_id, score positive_score from scores where other_label = label
+  qualify row_number() over (partition by anchor_id order by score desc, other) <= 5
+)
+select p.anchor_id, positive_id, cast(row_number() over w as integer) rank, other negative_id, positive_score, score negative_score
+from positives p join scores s on s.anchor_id = p.anchor_id and other_label <> label
+where 30 * positive_score <= 100 * score and 100 * score <= 90 * positive_score
+window w as (partition by p.anchor_id, positive_id order by score desc, other)
+qualify rank <= 10
 """,
 }

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from regforge.llm.common import table
 from regforge.llm.decontaminate import contaminated_documents
 from regforge.llm.exact_dedup import exact_dedup
+from regforge.llm.hard_negatives import hard_negatives
 from regforge.llm.language_model import score_held_out
 from regforge.llm.mixing import mix
 from regforge.llm.near_dedup import near_duplicates
@@ -59,6 +60,10 @@ def op10_transcript_parsing(spark: SparkSession, folder: str) -> DataFrame:
     return parse_conversations(table(spark, folder, "conversations"))
 
 
+def op13_hard_negatives(spark: SparkSession, folder: str) -> DataFrame:
+    return hard_negatives(table(spark, folder, "embeddings"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
@@ -72,5 +77,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_pareto_mixing,
         op9_kneser_ney,
         op10_transcript_parsing,
+        op13_hard_negatives,
     )
 }
