@@ -4,6 +4,78 @@ BLANKS = r"[\x20\x09-\x0D]"
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
+
+def repair_sql() -> str:
+    """The repair as a recursion over turns that keeps the least (cost, audit, text) per state."""
+    key = "coalesce(cast(conv_id as varchar), ' ') || ':' || coalesce(cast(turn as varchar), ' ')"
+    bits = f"flatten(list_transform(string_split({key}, ''), lambda c: list_transform(range(8), lambda i: (ascii(c) >> i) & 1)))"
+    # The checksum bit by bit.
+    crc = (
+        f"xor(list_reduce(list_prepend(cast(4294967295 as bigint), list_transform({bits}, lambda b: cast(b as bigint))), "
+        "lambda c, b: xor(c >> 1, 3988292384 * xor(c & 1, b))), 4294967295)"
+    )
+    line = "q.t || case when q.t = '' then '' else chr(10) end || "
+
+    def step(q: str, cost: str, code: str, text: str = "") -> str:
+        made = f"{{'c': {q}.c + {cost}, 'a': {q}.a || '{code}', 't': {(line + text).replace('q.t', q + '.t') if text else q + '.t'}}}"
+        return f"case when {q} is not null then {made} end"
+
+    def kept(q: str, initial: str) -> str:
+        return f"case when not bad and left(role, 1) = '{initial}' then {step(q, 'cut', 'K', chr(39) * 2 + ' || role || ' + repr(':') + ' || text')} end"
+
+    def given(q: str, role: str) -> str:
+        return f"case when not bad then {step(q, '3 + cut', 'R', repr(role + ':') + ' || text')} end"
+
+    def added(q: str, role: str) -> str:
+        return step(q, "3", "I", repr(role + ":"))
+
+    def least(*choices: str) -> str:
+        return f"list_min([{', '.join(choices)}])"
+
+    def with_insertions(source: str) -> str:
+        users = least("u", *(added(q, "user") for q in ("n", "s", "a")))
+        return f"""select conv_id, i, n, s, u, {least("a", added("u", "assistant"))} a
+  from (select conv_id, i, n, s, a, {users} u from ({source}))"""
+
+    state = "struct(c bigint, a varchar, t varchar)"
+    return rf"""
+with recursive hurt as (
+  select conv_id, turn, case when kind = 4 then 'user' else role end as role,
+         case kind when 1 then '' when 2 then regexp_replace(text, '[.!?]', '', 'g') else text end as text,
+         unnest(range(case kind when 0 then 0 when 3 then 2 else 1 end)) copy
+  from (select conv_id, turn, coalesce(role, ' ') as role, coalesce(text, ' ') as text, {crc} % 20 as kind from conversations)
+),
+placed as (
+  select *, row_number() over w i, lag(left(role, 1)) over w || left(role, 1) pair, rtrim(text, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)) body
+  from hurt
+  window w as (partition by conv_id order by turn nulls first, sha256(length(role) || ':' || role || text))
+),
+turns as (
+  select *, body = '' or again bad, case when body <> '' and not again and right(body, 1) not in ('.', '!', '?') then 3 else 0 end cut
+  from (select *, row_number() over (partition by conv_id, role, text order by i) > 1 again from placed)
+),
+counts as (
+  select conv_id, max(i) last, coalesce(max(turn) - min(turn) + 1 - count(distinct turn), 0) gaps, count(*) filter (where body = '') blank,
+         count(*) filter (where body <> '' and again) duplicate, count(*) filter (where cut > 0) truncated,
+         count(*) filter (where pair not in ('su', 'ua', 'au')) illegal
+  from turns group by conv_id
+),
+dp as (
+  {with_insertions(f"select distinct conv_id, cast(0 as bigint) i, cast({{'c': 0, 'a': '', 't': ''}} as {state}) n, cast(null as {state}) s, cast(null as {state}) u, cast(null as {state}) a from conversations")}
+  union all
+  {with_insertions(f"""select conv_id, turns.i, {step("n", "4", "D")} n,
+      {least(step("s", "4", "D"), kept("n", "s"))} s,
+      {least(step("u", "4", "D"), *(kept(q, "u") for q in ("n", "s", "a")), *(given(q, "user") for q in ("n", "s", "a")))} u,
+      {least(step("a", "4", "D"), kept("u", "a"), given("u", "assistant"))} a
+    from dp join turns using (conv_id) where turns.i = dp.i + 1""")}
+),
+solved as (select conv_id, {least("n", "a")} best from dp left join counts using (conv_id) where dp.i = coalesce(last, 0))
+select conv_id, cast(coalesce(gaps, 0) as bigint) gaps, coalesce(blank, 0) blank, coalesce(duplicate, 0) duplicate, coalesce(truncated, 0) truncated,
+       coalesce(illegal, 0) illegal, best.c as cost, best.a as audit, sha256(best.t) repaired_sha256
+from solved left join counts using (conv_id)
+"""
+
+
 ORACLE_SQL: dict[str, str] = {
     "op5_minhash_near_dedup": rf"""
 with recursive words as (
@@ -67,4 +139,5 @@ where 30 * positive_score <= 100 * score and 100 * score <= 90 * positive_score
 window w as (partition by p.anchor_id, positive_id order by score desc, other)
 qualify rank <= 10
 """,
+    "op12_conversation_repair": repair_sql(),
 }

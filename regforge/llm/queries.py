@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from regforge.llm.common import table
+from regforge.llm.conversation_repair import repair_damaged
 from regforge.llm.decontaminate import contaminated_documents
 from regforge.llm.exact_dedup import exact_dedup
 from regforge.llm.hard_negatives import hard_negatives
@@ -60,6 +61,10 @@ def op10_transcript_parsing(spark: SparkSession, folder: str) -> DataFrame:
     return parse_conversations(table(spark, folder, "conversations"))
 
 
+def op12_conversation_repair(spark: SparkSession, folder: str) -> DataFrame:
+    return repair_damaged(table(spark, folder, "conversations"))
+
+
 def op13_hard_negatives(spark: SparkSession, folder: str) -> DataFrame:
     return hard_negatives(table(spark, folder, "embeddings"))
 
@@ -77,6 +82,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_pareto_mixing,
         op9_kneser_ney,
         op10_transcript_parsing,
+        op12_conversation_repair,
         op13_hard_negatives,
     )
 }
