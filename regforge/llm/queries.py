@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from regforge.llm.code_switch import languages
 from regforge.llm.common import table
 from regforge.llm.conversation_repair import repair_damaged
 from regforge.llm.decontaminate import contaminated_documents
@@ -61,6 +62,10 @@ def op10_transcript_parsing(spark: SparkSession, folder: str) -> DataFrame:
     return parse_conversations(table(spark, folder, "conversations"))
 
 
+def op11_code_switch_language(spark: SparkSession, folder: str) -> DataFrame:
+    return languages(table(spark, folder, "documents"))
+
+
 def op12_conversation_repair(spark: SparkSession, folder: str) -> DataFrame:
     return repair_damaged(table(spark, folder, "conversations"))
 
@@ -82,6 +87,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_pareto_mixing,
         op9_kneser_ney,
         op10_transcript_parsing,
+        op11_code_switch_language,
         op12_conversation_repair,
         op13_hard_negatives,
     )
