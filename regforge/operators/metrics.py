@@ -2,7 +2,8 @@
 
 Each ``with_*`` operator adds row-level columns without a shuffle; each ``*_summary``
 reduces them to one row (or one row per group) with a map-side combined aggregation.
-Predictions and references arrive paired in one row; ``paired`` makes that pairing.
+Predictions and references arrive paired in one row; ``paired`` makes that pairing by key,
+``paired_by_position`` by the order of the rows in their files.
 """
 
 from collections.abc import Sequence
@@ -23,6 +24,7 @@ from regforge.functions.text import (
 )
 from regforge.functions.vectors import cosine
 from regforge.operators.scoring import task_of
+from regforge.sources.positions import numbered_rows
 
 BLEU_ORDERS = (1, 2, 3, 4)
 
@@ -32,6 +34,13 @@ def paired(predictions: DataFrame, references: DataFrame, sample_id: str | Seque
     return predictions.join(references, sample_id)
 
 
+def paired_by_position(predictions: DataFrame, references: DataFrame, number: str = "row_number", how: str = "inner") -> DataFrame:
+    """Predictions and references without a common key, both straight from a reader: the
+    n-th row of one belongs to the n-th of the other. The longer table's rest has no
+    partner; ``how='left'`` keeps the predictions of it. Numbering runs jobs."""
+    return numbered_rows(predictions, number).join(numbered_rows(references, number), number, how)
+
+
 # --- exact match -----------------------------------------------------------------
 def with_exact_match(df: DataFrame, prediction: str = "prediction", reference: str = "reference",
                      name: str = "exact_match") -> DataFrame:

@@ -3,6 +3,8 @@
 Nothing here coalesces to one file: a sink is a folder of part files.
 """
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -25,6 +27,21 @@ def write_jsonl(df: DataFrame, path: str, mode: str = "overwrite") -> None:
     df.write.mode(mode).options(**JSON_OPTIONS).json(path)
 
 
+def write_sorted(
+    df: DataFrame, path: str, keys: Sequence[str], ties: Sequence[str] = (), files: int | None = None, fmt: str = "parquet"
+) -> None:
+    """A total order over part files: read in the order of their names, the rows are sorted.
+
+    Rows are dealt by ranges of keys and ``ties`` whose bounds come from a sample, and sorted
+    inside each range. ``ties`` order the rows of one key, so a key that holds a large share
+    of the rows spans several files.
+    """
+    order = [*keys, *ties]
+    ranged = df.repartitionByRange(files, *order) if files else df.repartitionByRange(*order)
+    options = {"csv": CSV_OPTIONS, "json": JSON_OPTIONS}.get(fmt, {})
+    ranged.sortWithinPartitions(*order).write.mode("overwrite").options(**options).format(fmt).save(path)
+
+
 def write_split(df: DataFrame, path: str, split: str = "split", fmt: str = "json") -> None:
     """One sub-folder per split value, from a single pass, written as ``write_csv`` and
     ``write_jsonl`` write."""

@@ -13,6 +13,7 @@ from pyspark.sql import types as T
 
 from regforge import constants as C
 from regforge.functions.columns import as_column, blank_to_null, explode_rows, joined
+from regforge.operators.running import with_running_totals
 
 
 #: Holds the text of a page that is no JSON of the schema.
@@ -50,6 +51,29 @@ def parse_pages(
     return df.select(*keep, parsed.alias("_page")).select(*keep, "_page.*")
 
 
+def bounded_pages(pages: DataFrame, page: str, results: str = "results", limit: int | None = None) -> DataFrame:
+    """The pages that a page loop would have read: up to the first page without results, by
+    the number in column ``page`` (one row per number), and at most ``limit`` results in page
+    order, the last page cut short.
+
+    Only page numbers and counts are looked at to find the end; it is two numbers, which
+    become a filter on the pages. This runs jobs. Pages without a number take no part.
+    """
+    counts = pages.select(F.col(page).alias("_page"), F.greatest(F.coalesce(F.size(results), F.lit(0)), F.lit(0)).cast("long").alias("_n"))
+    end = counts.filter((F.col("_n") == 0) & F.col("_page").isNotNull()).agg(F.min("_page")).first()[0]
+    kept = pages.filter(F.col(page).isNotNull() if end is None else F.col(page) < F.lit(end))
+    if limit is None:
+        return kept
+    counts = counts.filter(F.col("_page").isNotNull() if end is None else F.col("_page") < F.lit(end))
+    reached = with_running_totals(counts, ["_page"], {"_n": "_before"}).filter(F.col("_before") < limit)
+    left = F.least(F.col("_n"), F.lit(limit) - F.col("_before")).cast("int")
+    last = reached.agg(F.max("_page").alias("page"), F.max_by(left, "_page").alias("take")).first()
+    if last["page"] is None:
+        return kept.limit(0)
+    cut = F.when(F.col(page) == F.lit(last["page"]), F.slice(results, 1, last["take"])).otherwise(F.col(results))
+    return kept.filter(F.col(page) <= F.lit(last["page"])).withColumn(results, cut)
+
+
 def rejected_pages(pages: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
     """The pages that could not be parsed, with their text."""
     # Spark refuses to read files for the corrupt column alone, so another one is looked at.

@@ -214,6 +214,14 @@ SELECT s_suppkey, CASE WHEN s_suppkey % 4 = 0 THEN 'rejected' ELSE 'row' END AS
        CASE WHEN s_suppkey % 4 <> 0 THEN recalling_firm END AS recalling_firm
 FROM (SELECT s_suppkey, s_name AS recalling_firm FROM supplier JOIN nation ON s_nationkey = n_nationkey)"""
 
+_PAGES = """
+WITH first_empty AS (SELECT coalesce(min(l_orderkey), 9223372036854775807) AS stop FROM lineitem WHERE l_orderkey % 499 = 0)
+SELECT l_orderkey, l_linenumber, l_partkey FROM lineitem, first_empty WHERE l_orderkey < stop"""
+ORACLE_SQL["pages_until_empty"] = _PAGES
+ORACLE_SQL["pages_until_limit"] = f"SELECT * FROM ({_PAGES}) ORDER BY l_orderkey, l_linenumber, l_partkey LIMIT 1234"
+ORACLE_SQL["sorted_files"] = """
+SELECT lang, doc_id, row_number() OVER (ORDER BY lang, doc_id) - 1 AS place FROM documents"""
+
 ORACLE_SQL["padded_names"] = """
 WITH named AS (SELECT p_partkey, p_name || ' ' || p_size AS name FROM part),
 reactions AS (
@@ -454,6 +462,18 @@ word_totals AS (
   FROM word_scores)"""
 ORACLE_SQL["eval_word_f1"] = f"WITH {PAIRS}, {word_scores('pairs')}, {WORD_TOTALS} SELECT * FROM word_totals"
 
+ORACLE_SQL["pair_by_position"] = f"""
+WITH numbered AS (
+  SELECT row_number, a.text AS prediction, b.text AS reference, NULL AS task
+  FROM (SELECT text, row_number() OVER () - 1 AS row_number FROM conversations) a
+  JOIN (SELECT text, row_number() OVER () - 1 AS row_number FROM documents) b USING (row_number)),
+sets AS (
+  SELECT row_number, list_distinct({word_tokens("prediction")}) AS p, list_distinct({word_tokens("reference")}) AS r FROM numbered),
+parts AS (SELECT row_number, len(list_intersect(p, r)) AS o, len(p) AS np, len(r) AS nr FROM sets)
+SELECT row_number, round({f_measure("o", "np", "nr")}, 6) AS word_f1,
+       round(CAST(CASE WHEN np > 0 THEN o / np ELSE 0 END AS DOUBLE), 6) AS word_precision,
+       round(CAST(CASE WHEN nr > 0 THEN o / nr ELSE 0 END AS DOUBLE), 6) AS word_recall FROM parts"""
+
 ORACLE_SQL["eval_f1_by_task"] = f"""
 WITH {ORDER_PAIRS}, {word_scores("order_pairs")}
 SELECT coalesce(task, 'unknown') AS task, round(avg(f), 6) AS f1, count(*) AS count

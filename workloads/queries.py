@@ -18,7 +18,8 @@ from regforge.operators import compare, enrich, instruct, metrics, names, scorin
 from regforge.operators.generate import batch_generate
 from regforge.plans.datasets import Extracts, build_datasets, entity_names, unified_table
 from regforge.plans.evaluation import evaluation_by_task, metric_report
-from regforge.sources import delimited, registry, structures, tables, trials
+from regforge.plans.stages import stage_folder
+from regforge.sources import delimited, positions, registry, structures, tables, trials
 from workloads import inputs as I
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -144,6 +145,34 @@ def rejected_pages(t, spark, folder):
     return good.unionByName(bad.select("s_suppkey", F.lit("rejected").alias("kind"), F.lit(None).cast("string").alias("recalling_firm")))
 
 
+def _line_pages(t) -> DataFrame:
+    """One page per order with its line items; those of every 499th order came back empty."""
+    lines = t("lineitem").groupBy("l_orderkey").agg(F.array_sort(F.collect_list(F.struct("l_linenumber", "l_partkey"))).alias("results"))
+    empty = F.when(F.col("l_orderkey") % 499 == 0, F.array().cast(lines.schema["results"].dataType)).otherwise(F.col("results"))
+    return lines.withColumn("results", empty)
+
+
+@query
+def pages_until_empty(t, spark, folder):
+    pages = registry.bounded_pages(_line_pages(t), "l_orderkey")
+    return explode_rows(pages, "results", "line", ["l_orderkey"]).select("l_orderkey", "line.*")
+
+
+@query
+def pages_until_limit(t, spark, folder):
+    """The limit falls inside a page."""
+    pages = registry.bounded_pages(_line_pages(t), "l_orderkey", limit=1234)
+    return explode_rows(pages, "results", "line", ["l_orderkey"]).select("l_orderkey", "line.*")
+
+
+@query
+def sorted_files(t, spark, folder):
+    """Documents written in the order of language and id, then read file by file."""
+    path = stage_folder(spark)
+    sinks.write_sorted(t("documents").select("lang", "doc_id"), path, ["lang"], ["doc_id"])
+    return positions.numbered_rows(spark.read.parquet(path), "place")
+
+
 # --- filters ---------------------------------------------------------------------
 @query
 def trials_failed(t, spark, folder):
@@ -354,6 +383,15 @@ def eval_word_f1(t, spark, folder):
     return rounded(metrics.word_f1_summary(metrics.with_word_f1(I.turn_pairs(t))))
 
 
+@query
+def pair_by_position(t, spark, folder):
+    """Predictions and references without a key: the n-th turn against the n-th document."""
+    predictions = t("conversations").select(F.col("text").alias("prediction"))
+    references = t("documents").select(F.col("text").alias("reference"))
+    scored = metrics.with_word_f1(metrics.paired_by_position(predictions, references))
+    return rounded(scored.select("row_number", "word_f1", "word_precision", "word_recall"))
+
+
 @query
 def eval_f1_by_task(t, spark, folder):
     return rounded(metrics.word_f1_by_task(metrics.with_word_f1(I.order_pairs(t))))
