@@ -72,12 +72,11 @@ def names_from_lists(
     return rows.select("drug_name", F.lit(source).alias("source"), "status", "position")
 
 
-def name_dictionary(sources: Sequence[DataFrame], order: Sequence[str], clean: bool = True) -> DataFrame:
-    """Union of tagged names to ``(drug_name, source, status)``.
+def merged_names(sources: Sequence[DataFrame], order: Sequence[str], clean: bool = True) -> DataFrame:
+    """Union of tagged names to one row per name: the ``mask`` of its sources by rank, and
+    the ``first`` status with rank and position.
 
-    ``order`` ranks the sources: the status is the first non-missing one by (source
-    rank, position). Distinct sources are listed alphabetically. A source that ``order``
-    lacks is an error. ``clean=False`` says that the names already are clean, as
+    ``order`` ranks the sources; a source that it lacks is an error. ``clean=False`` says that the names already are clean, as
     ``names_from_columns`` and ``names_from_lists`` return them.
 
     Stage one groups by (name, source, status) with only longs in the buffer: a hash
@@ -99,9 +98,13 @@ def name_dictionary(sources: Sequence[DataFrame], order: Sequence[str], clean: b
         .agg(F.min("position").alias("position"))
     )
     ordered = F.when(F.col("status").isNotNull(), F.struct("rank", "position", "status"))
-    merged = seen.groupBy("drug_name").agg(
+    return seen.groupBy("drug_name").agg(
         F.bit_or(F.call_function("shiftleft", F.lit(1).cast("long"), F.col("rank"))).alias("mask"), F.min(ordered).alias("first")
     )
+
+
+def rendered_names(merged: DataFrame, order: Sequence[str], keep: Sequence[str] = ()) -> DataFrame:
+    """``merged_names`` as ``(drug_name, source, status)``: the sources listed alphabetically."""
     listed = [
         F.when(F.col("mask").bitwiseAND(1 << order.index(name)) != 0, F.lit(name))
         for name in sorted(order)
@@ -110,4 +113,11 @@ def name_dictionary(sources: Sequence[DataFrame], order: Sequence[str], clean: b
         "drug_name",
         F.concat_ws(C.NAME_SEPARATOR, *listed).alias("source"),
         F.col("first.status").alias("status"),
+        *keep,
     )
+
+
+def name_dictionary(sources: Sequence[DataFrame], order: Sequence[str], clean: bool = True) -> DataFrame:
+    """Union of tagged names to ``(drug_name, source, status)``: the status is the first
+    non-missing one by (source rank, position). See ``merged_names``."""
+    return rendered_names(merged_names(sources, order, clean), order)

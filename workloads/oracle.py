@@ -259,6 +259,9 @@ ORACLE_SQL["top_reasons"] = (
 
 ORACLE_SQL["unified_table"] = f"WITH {UNIFIED} SELECT * FROM unified"
 
+ORACLE_SQL["landed_names"] = f"""
+WITH {UNIFIED} SELECT DISTINCT drug_name, source, status, adverse_reactions, failure_reason FROM unified"""
+
 # --- enrichment ------------------------------------------------------------------
 ORACLE_SQL["missing_structure"] = """
 SELECT doc_id, lang FROM documents WHERE doc_id NOT IN (SELECT doc_id FROM labels WHERE quality IS NOT NULL)"""
@@ -286,6 +289,11 @@ FROM customer LEFT JOIN (
   SELECT s_nationkey, CASE WHEN s_acctbal > 5000 THEN s_acctbal END AS balance FROM supplier
   QUALIFY row_number() OVER (PARTITION BY s_nationkey ORDER BY s_suppkey) = 1) s ON s_nationkey = c_nationkey"""
 
+ORACLE_SQL["stored_dictionary"] = """
+SELECT p_name AS drug_name, CASE WHEN min(p_size) = 1 THEN -min(p_partkey) ELSE min(p_partkey) END AS cid,
+       CAST(CASE WHEN min(p_size) = 1 THEN 3 WHEN min(p_size) <= 12 THEN 1 ELSE 2 END AS BIGINT) AS answered_at
+FROM part GROUP BY p_name"""
+
 # --- data sets -------------------------------------------------------------------
 ORACLE_SQL["status_score"] = f"""
 SELECT event_id, CAST({case("event_type", {"click": "1.0", "view": "0.5", "error": "0.0"})} AS DOUBLE) AS score

@@ -17,7 +17,9 @@ from regforge.functions.columns import explode_rows
 from regforge.operators import compare, enrich, instruct, metrics, names, scoring, split, topk
 from regforge.operators.generate import batch_generate
 from regforge.plans.datasets import Extracts, build_datasets, entity_names, unified_table
+from regforge.plans.dictionary import StoredDictionary
 from regforge.plans.evaluation import evaluation_by_task, metric_report
+from regforge.plans.incremental import NameState, current_names, landing, merge_landing
 from regforge.plans.stages import stage_folder
 from regforge.sources import delimited, positions, registry, structures, tables, trials
 from workloads import inputs as I
@@ -229,6 +231,26 @@ def unified(t, spark, folder):
 QUERIES["unified_table"] = QUERIES.pop("unified")
 
 
+@query
+def landed_names(t, spark, folder):
+    """The name table from three landings, merged one after another."""
+    extracts = I.extracts(t)
+    state = NameState(stage_folder(spark), buckets=8)
+    for part in range(3):
+        def of(df, part=part):
+            return df.filter(F.col("position") % 3 == part)
+
+        tagged = [names.names_from_lists(of(extracts.trials), "drug_names", C.TRIAL_SOURCE, "status", "position")]
+        if part == 1:
+            tagged.append(names.names_from_columns(extracts.registry, ["ingredient"], C.REGISTRY_SOURCE))
+        if part == 2:
+            tagged.append(names.names_from_columns(extracts.labels, ["brand_name"], C.LABEL_SOURCE))
+        reactions = of(extracts.adverse_events).select(X.clean_name("drug_name").alias("drug_name"), F.col("reactions").alias("value"), "position")
+        reasons = names.explode_names(of(extracts.failed_trials), "drug_names", [F.col("why_stopped").alias("value"), "position"])
+        merge_landing(spark, state, landing(state, tagged, {"adverse_reactions": reactions, "failure_reason": reasons}))
+    return current_names(spark, state)
+
+
 # --- enrichment ------------------------------------------------------------------
 def _quality(t) -> DataFrame:
     return t("documents").select("doc_id", "lang").join(t("labels").select("doc_id", "quality"), "doc_id", "left")
@@ -270,6 +292,24 @@ def enrich_update(t, spark, folder):
     return enrich.update_from(customers, "c_nationkey", dictionary, "s_nationkey", ["c_acctbal"])
 
 
+@query
+def stored_dictionary(t, spark, folder):
+    """Small parts are asked first, then all (only the new names), then the smallest anew."""
+    parts = t("part").select(F.col("p_name").alias("name"), "p_size", "p_partkey")
+    known = parts.groupBy(F.col("name").alias("drug_name")).agg(F.min("p_partkey").alias("cid"))
+
+    def source(asked):
+        return asked.join(known, "drug_name")
+
+    store = StoredDictionary(spark, stage_folder(spark), T.StructType([T.StructField("cid", T.LongType())]), buckets=8)
+    store.ask(parts.filter("p_size <= 12"), "name", source, at=1)
+    store.ask(parts, "name", source, at=2)
+    renewed = parts.filter("p_size = 1").select(F.col("name").alias("drug_name")).distinct().join(known, "drug_name")
+    store.add(renewed.withColumn("cid", -F.col("cid")), at=3)
+    store.compact()
+    return store.look_up(parts, "name")
+
+
 # --- data sets -------------------------------------------------------------------
 @query
 def status_score(t, spark, folder):
