@@ -8,9 +8,7 @@ from regforge import constants as C
 from workloads.oracle import ORACLE_SQL as SQL
 from workloads.queries import QUERIES
 
-# Per-line subsequences need a walk back through the table: checked against the
-# definition in test_functions and test_metrics instead.
-WITHOUT_SQL = {"eval_rouge_lsum"}
+WITHOUT_SQL: set[str] = set()
 
 
 @pytest.fixture(scope="module")

@@ -582,6 +582,42 @@ rouge_l AS (
 ORACLE_SQL["eval_rouge_l"] = f"""
 WITH RECURSIVE {PAIRS}, {ROUGE_L} SELECT task, round(avg(f), 6) AS "rougeL" FROM rouge_l GROUP BY task"""
 
+# The same table per pair of lines (equal candidate lines once), then a walk back through it:
+# a step up, left or, at equal words, both. Hits are clipped by the words of the prediction.
+ROUGE_LSUM = f"""
+line_sides AS (SELECT id, string_split(prediction, chr(10)) AS pl, string_split(reference, chr(10)) AS rl FROM pairs),
+ref_lines AS (SELECT id, line, {alphanumeric("content")} AS r FROM (SELECT id, unnest(range(1, len(rl) + 1)) AS line, unnest(rl) AS content FROM line_sides)),
+pred_lines AS (SELECT id, {alphanumeric("content")} AS p FROM (SELECT id, unnest(pl) AS content FROM line_sides)),
+line_pairs AS MATERIALIZED (
+  SELECT row_number() OVER () AS k, id, line, r, p FROM ref_lines JOIN (SELECT DISTINCT id, p FROM pred_lines) USING (id)
+  WHERE list_has_any(r, p)),
+line_wanted AS (SELECT k, unnest(range(1, len(r) + 1)) AS i, unnest(r) AS word FROM line_pairs),
+line_cells AS (
+  SELECT k, CAST(0 AS BIGINT) AS i, unnest(range(1, len(p) + 1)) AS j, unnest(p) AS word, CAST(0 AS BIGINT) AS v FROM line_pairs
+  UNION ALL
+  SELECT k, i, j, word, max(candidate) OVER (PARTITION BY k ORDER BY j) FROM (
+    SELECT c.k, c.i + 1 AS i, c.j, c.word,
+           greatest(c.v, CASE WHEN c.word = w.word
+                              THEN lag(c.v, 1, 0) OVER (PARTITION BY c.k ORDER BY c.j) + 1 ELSE 0 END) AS candidate
+    FROM line_cells c JOIN line_wanted w ON w.k = c.k AND w.i = c.i + 1)),
+line_rows AS MATERIALIZED (
+  SELECT k, i, v, lag(v) OVER (PARTITION BY k ORDER BY i) AS above, r[i] AS word, p
+  FROM (SELECT k, i, list(v ORDER BY j) AS v FROM line_cells GROUP BY k, i) JOIN line_pairs USING (k)),
+walk AS (
+  SELECT k, CAST(len(r) AS BIGINT) AS i, CAST(len(p) AS BIGINT) AS j, CAST(0 AS BIGINT) AS hit FROM line_pairs
+  UNION ALL
+  SELECT k, CASE WHEN NOT same AND left_first THEN i ELSE i - 1 END, CASE WHEN same OR left_first THEN j - 1 ELSE j END,
+         CASE WHEN same THEN i ELSE 0 END
+  FROM (SELECT k, i, j, word = p[j] AS same, coalesce(v[j - 1], 0) > above[j] AS left_first
+        FROM walk JOIN line_rows USING (k, i) WHERE i > 0 AND j > 0)),
+line_hits AS (
+  SELECT id, sum(least(h, n)) AS hits
+  FROM (SELECT id, word, count(*) AS h FROM (SELECT DISTINCT id, line, hit, r[hit] AS word FROM walk JOIN line_pairs USING (k) WHERE hit > 0) GROUP BY ALL)
+  JOIN (SELECT id, word, count(*) AS n FROM (SELECT id, unnest(p) AS word FROM pred_lines) GROUP BY ALL) USING (id, word) GROUP BY id),
+rouge_lsum AS (SELECT id, task, {f_measure("coalesce(hits, 0)", "len(p)", "len(r)")} AS f FROM whole LEFT JOIN line_hits USING (id))"""
+ORACLE_SQL["eval_rouge_lsum"] = f"""
+WITH RECURSIVE {PAIRS}, {ROUGE_L}, {ROUGE_LSUM} SELECT task, round(avg(f), 6) AS "rougeLsum" FROM rouge_lsum GROUP BY task"""
+
 ORACLE_SQL["eval_cosine"] = """
 WITH pairs AS (
   SELECT list_cosine_similarity(CAST(a.embedding AS DOUBLE[]), CAST(b.embedding AS DOUBLE[])) AS s
@@ -618,14 +654,14 @@ def renamed(sql: str, prefix: str) -> str:
 
 
 _WIDE = (
-    "exact_match", "word_f1", "bleu", "rouge1", "rougeL", "exact_match_count", "word_precision", "word_recall",
+    "exact_match", "word_f1", "bleu", "rouge1", "rougeL", "rougeLsum", "exact_match_count", "word_precision", "word_recall",
     "length_ratio", "rouge2", "avg_pred_length", "avg_ref_length", "length_std", "bleu_1", "bleu_2",
     "smiles_validity_rate", "valid_smiles_count", "reference_smiles_count",
 )
 _RANK = {name: i for i, name in enumerate(C.METRIC_PRIORITY, start=1)}
 _LAST = len(C.METRIC_PRIORITY) + 1
 ORACLE_SQL["metric_long"] = f"""
-WITH RECURSIVE {PAIRS}, {LENGTHS}, {word_scores("pairs")}, {WORD_TOTALS}, {BLEU}, {renamed(ROUGE_N, "rouge_")}, {ROUGE_L},
+WITH RECURSIVE {PAIRS}, {LENGTHS}, {word_scores("pairs")}, {WORD_TOTALS}, {BLEU}, {renamed(ROUGE_N, "rouge_")}, {ROUGE_L}, {ROUGE_LSUM},
 same AS (SELECT {normalized("prediction")} = {normalized("reference")} AS same FROM pairs),
 words AS (SELECT DISTINCT unnest({tokens("text")}) AS w FROM documents),
 found AS (
@@ -639,6 +675,7 @@ wide AS (
   SELECT (SELECT avg(CAST(same AS INTEGER)) FROM same) AS exact_match,
          word_f1, (SELECT bleu FROM bleu_score) AS bleu,
          (SELECT f FROM rouge_n WHERE n = 1) AS rouge1, (SELECT avg(f) FROM rouge_l) AS "rougeL",
+         (SELECT avg(f) FROM rouge_lsum) AS "rougeLsum",
          (SELECT count(*) FROM same WHERE same) AS exact_match_count,
          word_precision, word_recall, length_ratio, (SELECT f FROM rouge_n WHERE n = 2) AS rouge2,
          avg_pred_length, avg_ref_length, length_std,
@@ -655,7 +692,7 @@ UNION ALL SELECT task || '_count', CAST(count(*) AS DOUBLE), CAST({_LAST} AS INT
 
 ORACLE_SQL["eval_report_by_task"] = f"""
 WITH RECURSIVE {PAIRS}, {ngram_overlap(tokens, "(1), (2), (3), (4)")}, {renamed(ngram_overlap(alphanumeric, "(1), (2)"), "rouge_")},
-{ROUGE_L}, {task_scores(False, "pairs", "id")},
+{ROUGE_L}, {ROUGE_LSUM}, {task_scores(False, "pairs", "id")},
 per_row AS (
   SELECT s.id, s.task, s.score, len({tokens("s.prediction")}) AS p, len({tokens("s.reference")}) AS r,
          coalesce((SELECT {f_measure("m.o", "m.np", "m.nr")} FROM rouge_matches m WHERE m.id = s.id AND m.n = 1), 0) AS f1,
@@ -666,6 +703,7 @@ means AS (
          avg(f1) AS f1, avg(f2) AS f2, avg(p) AS p, avg(r) AS r, sum(p) AS c, sum(r) AS w
   FROM per_row GROUP BY ROLLUP (task)),
 lcs_means AS (SELECT task, CAST(grouping(task) AS INTEGER) AS is_total, avg(f) AS f FROM rouge_l GROUP BY ROLLUP (task)),
+sum_means AS (SELECT task, CAST(grouping(task) AS INTEGER) AS is_total, avg(f) AS f FROM rouge_lsum GROUP BY ROLLUP (task)),
 precisions AS (
   SELECT task, CAST(grouping(task) AS INTEGER) AS is_total, n, sum(o) / sum(np) AS p
   FROM matches JOIN pairs USING (id) GROUP BY GROUPING SETS ((task, n), (n))),
@@ -673,11 +711,12 @@ bleus AS (
   SELECT task, is_total, CASE WHEN min(p) > 0 THEN exp(avg(ln(CASE WHEN p > 0 THEN p END))) ELSE 0 END AS g
   FROM precisions GROUP BY ALL)
 SELECT m.task, m.is_total, m.samples, round(m.score, 6) AS task_specific_accuracy, round(m.f1, 6) AS rouge1,
-       round(m.f2, 6) AS rouge2, round(l.f, 6) AS "rougeL", round(m.p, 6) AS avg_pred_length,
+       round(m.f2, 6) AS rouge2, round(l.f, 6) AS "rougeL", round(u.f, 6) AS "rougeLsum", round(m.p, 6) AS avg_pred_length,
        round(m.r, 6) AS avg_ref_length,
        round(b.g * CASE WHEN m.c > m.w THEN 1.0 ELSE exp(1.0 - m.w / m.c) END, 6) AS bleu
 FROM means m JOIN bleus b ON b.is_total = m.is_total AND b.task IS NOT DISTINCT FROM m.task
-     JOIN lcs_means l ON l.is_total = m.is_total AND l.task IS NOT DISTINCT FROM m.task"""
+     JOIN lcs_means l ON l.is_total = m.is_total AND l.task IS NOT DISTINCT FROM m.task
+     JOIN sum_means u ON u.is_total = m.is_total AND u.task IS NOT DISTINCT FROM m.task"""
 
 # --- keywords and comparison -----------------------------------------------------
 _KEYWORDS = " ".join(

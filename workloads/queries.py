@@ -504,14 +504,12 @@ def smiles_pair_rate(t, spark, folder):
 @query
 def metric_long(t, spark, folder):
     words = explode_rows(t("documents"), X.tokens("text"), "canonical_smiles")
-    report = metric_report(I.turn_pairs(t), task="task", structures=words)
-    # The per-line variant has its own query, it has no SQL form.
-    return rounded(report.filter("metric <> 'rougeLsum'"))
+    return rounded(metric_report(I.turn_pairs(t), task="task", structures=words))
 
 
 @query
 def eval_report_by_task(t, spark, folder):
-    return rounded(evaluation_by_task(I.turn_pairs(t)).drop("rougeLsum"))
+    return rounded(evaluation_by_task(I.turn_pairs(t)))
 
 
 # --- keywords and comparison -----------------------------------------------------
