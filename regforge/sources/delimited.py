@@ -48,12 +48,12 @@ def read_products(spark: SparkSession, folder: str) -> DataFrame:
     return read_extract(spark, folder, "products.txt")
 
 
-def read_patents(spark: SparkSession, folder: str) -> DataFrame:
-    return read_extract(spark, folder, "patent.txt")
+def read_patents(spark: SparkSession, folder: str, file_name: str = "patent.txt") -> DataFrame:
+    return read_extract(spark, folder, file_name)
 
 
-def read_exclusivity(spark: SparkSession, folder: str) -> DataFrame:
-    return read_extract(spark, folder, "exclusivity.txt")
+def read_exclusivity(spark: SparkSession, folder: str, file_name: str = "exclusivity.txt") -> DataFrame:
+    return read_extract(spark, folder, file_name)
 
 
 def parse_lines(

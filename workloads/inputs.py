@@ -67,13 +67,15 @@ def parts_named(t: Callable[[str], DataFrame]) -> DataFrame:
 
 
 def extracts(t: Callable[[str], DataFrame]) -> Extracts:
-    """Parts are the entities: PROMO parts the registry, LARGE and PROMO parts the
-    labels, line items the trials (status from the order) and the adverse events."""
+    """Parts are the entities: registry, labels and structures have a row per part, line
+    items are the trials (status from the order) and the adverse events. The registry names
+    PROMO parts only, labels LARGE and PROMO parts, and the structures of large parts belong
+    to names that nothing else has."""
     part, lines, orders = t("part"), t("lineitem"), t("orders")
     named = parts_named(t)
-    registry = part.filter("p_type = 'PROMO'").select(entity_name().alias("ingredient"))
-    labels = part.filter(F.col("p_type").isin("LARGE", "PROMO")).select(
-        entity_name().alias("brand_name"), F.lit(None).cast("string").alias("generic_name")
+    registry = part.select(F.when(F.col("p_type") == "PROMO", entity_name()).alias("ingredient"))
+    labels = part.select(
+        F.when(F.col("p_type").isin("LARGE", "PROMO"), entity_name()).alias("brand_name"), F.lit(None).cast("string").alias("generic_name")
     )
     line_names = lines.join(named, lines["l_partkey"] == named["p_partkey"])
     trials = line_names.join(orders, F.col("l_orderkey") == F.col("o_orderkey")).select(
@@ -87,8 +89,8 @@ def extracts(t: Callable[[str], DataFrame]) -> Extracts:
         F.concat(F.lit("quantity "), F.col("l_quantity").cast("int").cast("string")).alias("reactions"),
         line_position().alias("position"),
     )
-    structures = part.filter("p_size <= 25").select(
-        entity_name().alias("drug_name"),
+    structures = part.select(
+        F.when(F.col("p_size") <= 25, entity_name()).otherwise(F.concat(F.lit("unseen "), entity_name())).alias("drug_name"),
         F.col("p_partkey").alias("cid"),
         F.col("p_brand").alias("molecular_formula"),
         F.col("p_retailprice").alias("molecular_weight"),

@@ -1,6 +1,7 @@
 """The queries of :mod:`workloads.queries` as SQL for DuckDB, over whole tables."""
 
 from regforge import constants as C
+from regforge.operators.bootstrap import poisson_limits
 from workloads import inputs as I
 
 ORACLE_SQL: dict[str, str] = {}
@@ -209,6 +210,13 @@ ORACLE_SQL["source_summary"] = " UNION ALL ".join(
 
 ORACLE_SQL["jsonl_roundtrip"] = "SELECT c_custkey, c_name, c_nationkey, c_acctbal, c_mktsegment FROM customer"
 
+ORACLE_SQL["read_patents"] = """
+SELECT CAST(p_partkey AS VARCHAR) AS appl_no, p_name AS patent_no, p_brand AS use_code, CAST(p_size AS VARCHAR) AS expire_date FROM part"""
+ORACLE_SQL["read_exclusivity"] = """
+SELECT CAST(p_partkey AS VARCHAR) AS appl_no, p_name AS patent_no, CAST(p_size AS VARCHAR) AS expire_date FROM part"""
+ORACLE_SQL["csv_roundtrip"] = """
+SELECT doc_id, text, CASE WHEN doc_id % 3 > 0 THEN 'say "' || lang || '", ok' END AS quoted FROM documents"""
+
 ORACLE_SQL["rejected_pages"] = """
 SELECT s_suppkey, CASE WHEN s_suppkey % 4 = 0 THEN 'rejected' ELSE 'row' END AS kind,
        CASE WHEN s_suppkey % 4 <> 0 THEN recalling_firm END AS recalling_firm
@@ -355,6 +363,8 @@ ORACLE_SQL["split_hash"] = f"""
 SELECT doc_id, CASE WHEN h < 0.8 THEN 'train' WHEN h < 0.9 THEN 'val' ELSE 'test' END AS split
 FROM (SELECT doc_id, ('0x' || substr({_HASH}, 1, 8))::UBIGINT / 4294967296.0 AS h FROM documents)"""
 
+ORACLE_SQL["split_files"] = ORACLE_SQL["split_hash"].replace("SELECT doc_id, CASE", "SELECT doc_id, lang, CASE").replace("SELECT doc_id, ('0x'", "SELECT doc_id, lang, ('0x'")
+
 _HELD = "CAST(ceil((1.0::DOUBLE - 0.8::DOUBLE) * n) AS BIGINT)"
 EXACT = f"""
 exact_ranked AS (
@@ -516,6 +526,9 @@ SELECT coalesce(task, 'unknown') AS task, count(*) AS samples, round(avg(score),
        round(avg(len({tokens("reference")})), 6) AS avg_ref_length
 FROM task_scores GROUP BY 1"""
 
+ORACLE_SQL["result_document"] = f"""
+SELECT task, samples, task_specific_accuracy, samples AS written FROM ({ORACLE_SQL["eval_by_task"]})"""
+
 ORACLE_SQL["eval_accuracy_rollup"] = f"""
 WITH {ORDER_PAIRS},
 marked AS (
@@ -618,6 +631,28 @@ rouge_lsum AS (SELECT id, task, {f_measure("coalesce(hits, 0)", "len(p)", "len(r
 ORACLE_SQL["eval_rouge_lsum"] = f"""
 WITH RECURSIVE {PAIRS}, {ROUGE_L}, {ROUGE_LSUM} SELECT task, round(avg(f), 6) AS "rougeLsum" FROM rouge_lsum GROUP BY task"""
 
+_DIGITS = "substr(md5('42:' || replicate || ':' || conv_id || '-' || turn), 1, 8)"
+_WEIGHT = " + ".join(f"CAST({_DIGITS} >= '{limit}' AS INTEGER)" for limit in poisson_limits())
+_VALUES = ("word_f1", "word_recall", "exact_match")
+ORACLE_SQL["eval_intervals"] = f"""
+WITH {PAIRS},
+sets AS (
+  SELECT *, list_distinct({word_tokens("prediction")}) AS p, list_distinct({word_tokens("reference")}) AS r,
+         CAST({normalized("prediction")} = {normalized("reference")} AS INTEGER) AS exact_match FROM pairs),
+parts AS (SELECT *, len(list_intersect(p, r)) AS o, len(p) AS np, len(r) AS nr FROM sets),
+scores AS (
+  SELECT task, conv_id, turn, {f_measure("o", "np", "nr")} AS word_f1, CASE WHEN nr > 0 THEN o / nr ELSE 0 END AS word_recall, exact_match FROM parts),
+weighted AS (
+  SELECT *, CASE WHEN replicate = 0 THEN 1 ELSE {_WEIGHT} END AS w FROM scores, (SELECT unnest(range(101)) AS replicate)),
+sums AS (
+  SELECT task, replicate, {", ".join(f"sum(w * {v}) / nullif(sum(w), 0) AS {v}" for v in _VALUES)} FROM weighted GROUP BY ALL)
+""" + " UNION ALL ".join(
+    f"""SELECT task, '{v}' AS metric, round(CAST(max({v}) FILTER (WHERE replicate = 0) AS DOUBLE), 6) AS value,
+       round(CAST(quantile_cont({v}, 0.025) FILTER (WHERE replicate > 0) AS DOUBLE), 6) AS low,
+       round(CAST(quantile_cont({v}, 0.975) FILTER (WHERE replicate > 0) AS DOUBLE), 6) AS high FROM sums GROUP BY task"""
+    for v in _VALUES
+)
+
 ORACLE_SQL["eval_cosine"] = """
 WITH pairs AS (
   SELECT list_cosine_similarity(CAST(a.embedding AS DOUBLE[]), CAST(b.embedding AS DOUBLE[])) AS s
@@ -796,3 +831,6 @@ ORDER BY prompt_id LIMIT {C.SAMPLE_PROMPTS}"""
 
 ORACLE_SQL["batch_score"] = f"""
 SELECT conv_id, turn, 'answer: ' || len({tokens("text")}) || ' words' AS response FROM conversations"""
+
+ORACLE_SQL["batch_resume"] = """
+SELECT conv_id, turn, length(text) || ' characters' AS response, CAST(1 + turn % 2 AS INTEGER) AS attempt FROM conversations"""

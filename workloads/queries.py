@@ -14,8 +14,8 @@ from regforge import constants as C
 from regforge import schemas, sinks
 from regforge.functions import text as X
 from regforge.functions.columns import explode_rows
-from regforge.operators import compare, enrich, instruct, metrics, names, scoring, split, topk
-from regforge.operators.generate import batch_generate
+from regforge.operators import bootstrap, compare, enrich, instruct, metrics, names, scoring, split, topk
+from regforge.operators.generate import batch_generate, generate_rest
 from regforge.plans.datasets import Extracts, build_datasets, entity_names, unified_table
 from regforge.plans.dictionary import StoredDictionary
 from regforge.plans.evaluation import evaluation_by_task, metric_report
@@ -136,6 +136,55 @@ def jsonl_roundtrip(t, spark, folder):
     return tables.parse_jsonl(sinks.jsonl_lines(customers), "line", customers.schema)
 
 
+def _extract(t, folder: str) -> None:
+    """Parts as a delimited extract with a header, two folders below ``folder``."""
+    fields = [F.col("p_partkey").alias("Appl No "), F.col("p_name").alias("Patent No"), F.col("p_brand").alias("Use Code"), F.col("p_size").alias("Expire Date")]
+    t("part").select(*fields).write.option("sep", delimited.DELIMITER).option("header", True).option("encoding", delimited.ENCODING).csv(f"{folder}/data/latest")
+
+
+@query
+def read_patents(t, spark, folder):
+    path = stage_folder(spark)
+    _extract(t, path)
+    return delimited.read_patents(spark, path, "*.csv")
+
+
+@query
+def read_exclusivity(t, spark, folder):
+    path = stage_folder(spark)
+    _extract(t, path)
+    return delimited.read_exclusivity(spark, path, "*.csv").drop("use_code")
+
+
+@query
+def csv_roundtrip(t, spark, folder):
+    """Texts with line ends, quotes and commas through the CSV writer and reader."""
+    path = stage_folder(spark)
+    rows = t("documents").select("doc_id", "text", F.when(F.col("doc_id") % 3 > 0, F.concat(F.lit('say "'), "lang", F.lit('", ok'))).alias("quoted"))
+    sinks.write_csv(rows, path)
+    return tables.read_csv_or_empty(spark, path, rows.schema)
+
+
+@query
+def split_files(t, spark, folder):
+    """A split data set as it is written, read back."""
+    path = stage_folder(spark)
+    sinks.write_split(split.split_by_hash(t("documents").select("doc_id", "lang"), "doc_id"), path)
+    return spark.read.schema("doc_id long, lang string, split string").json(path)
+
+
+@query
+def result_document(t, spark, folder):
+    """The parts of a written result, read back."""
+    path = stage_folder(spark)
+    scored = scoring.with_task_score(I.order_pairs(t))
+    by_task = rounded(scoring.score_by_task(scored)).select("task", "samples", "task_specific_accuracy")
+    sinks.write_result(path, by_task=by_task, predictions=scored.select("o_orderkey", "task"))
+    rows = tables.read_jsonl(spark, f"{path}/predictions", T.StructType([T.StructField("o_orderkey", T.LongType()), T.StructField("task", T.StringType())]))
+    counts = rows.groupBy(F.coalesce("task", F.lit("unknown")).alias("task")).agg(F.count(F.lit(1)).alias("written"))
+    return tables.read_jsonl(spark, f"{path}/by_task", by_task.schema).join(counts, "task")
+
+
 @query
 def rejected_pages(t, spark, folder):
     """Pages of recalls, every fourth cut short: rows of the good ones, and the bad ones."""
@@ -479,6 +528,14 @@ def eval_rouge_lsum(t, spark, folder):
     return rounded(metrics.mean_summary(scored, ["rougeLsum"], ["task"]))
 
 
+@query
+def eval_intervals(t, spark, folder):
+    """Means with bootstrap intervals per task."""
+    scored = metrics.with_exact_match(metrics.with_word_f1(I.turn_pairs(t)))
+    scored = scored.select("task", F.concat_ws("-", "conv_id", "turn").alias("sample"), "word_f1", "word_recall", F.col("exact_match").cast("int").alias("exact_match"))
+    return rounded(bootstrap.bootstrap_means(scored, "sample", ["word_f1", "word_recall", "exact_match"], ["task"], replicates=100))
+
+
 @query
 def eval_cosine(t, spark, folder):
     vectors = t("embeddings")
@@ -585,3 +642,14 @@ def batch_score(t, spark, folder):
 
     rows = t("conversations").select("conv_id", "turn", "text")
     return batch_generate(rows, make_generator, prefix="answer: ").select("conv_id", "turn", "response")
+
+
+@query
+def batch_resume(t, spark, folder):
+    """A second attempt over all turns asks for those that the first, over even turns, left."""
+    def make_generator():
+        return lambda batch: [f"{len(text)} characters" for text in batch["text"]]
+
+    rows, columns, path = t("conversations"), ["conv_id", "turn", "text"], stage_folder(spark)
+    generate_rest(rows.filter("turn % 2 = 0"), columns, make_generator, path, attempt=1)
+    return generate_rest(rows, columns, make_generator, path, attempt=2).select("conv_id", "turn", "response", "attempt")
