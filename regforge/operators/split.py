@@ -20,9 +20,11 @@ from pyspark.sql import functions as F
 
 from regforge import constants as C
 from regforge.functions.columns import as_column
+from regforge.operators.joins import splittable_join
+from regforge.plans.stages import staged
 
 _BUCKET_DIGITS = 4  # hex digits: 65,536 ranges
-#: The bounds of all labels travel as one small map.
+#: The bounds of so many labels travel as one small map.
 MAX_LABELS = 1000
 
 
@@ -219,22 +221,25 @@ def split_stratified(
 ) -> DataFrame:
     """Exact sizes per label, or ``all`` for every row where ``strata_plan`` says so.
 
-    The plan has one row per label, ``MAX_LABELS`` at most. Their boundary rows come to the
-    data as one map, so the rows themselves are never shuffled.
+    Counts per label and range, and the plan with one row per label, are staged: this runs
+    jobs. The boundary rows of up to ``MAX_LABELS`` labels come to the data as one map, so
+    the rows themselves are not shuffled; beyond, they are joined by label, and a label with
+    a large share of the rows can be split.
     """
     labelled = df.filter(F.col(label).isNotNull())
     places = _places(labelled, [label], key, seed)
-    ranges = _ranges(places, [label])
-    plan = strata_plan(ranges.groupBy(label).agg(F.sum("rows").alias("rows")), label, train)
+    ranges = staged(_ranges(places, [label]))
+    plan = staged(strata_plan(ranges.groupBy(label).agg(F.sum("rows").alias("rows")), label, train))
     ranks = plan.select(label, _wanted(F.col("train_rows"), F.col("train_rows") + F.col("val_rows")))
     ends = _rows_at(places, [label], _within(ranges.join(ranks, label), [label]))
-    entry = F.struct(F.col(label), F.struct("whole", "train", "val"))
-    few = F.when(F.count(F.lit(1)) > MAX_LABELS, F.raise_error(F.lit(f"more than {MAX_LABELS} labels")).cast("int"))
-    per_label = plan.select(label, "whole").join(ends, label, "left")
-    # An array from at most MAX_LABELS rows.
-    bounds = per_label.agg(F.map_from_entries(F.collect_list(entry)).alias("map"), few.alias("few")).select(F.struct("map", "few")).scalar()
-    marked = df.withColumn("_bounds", bounds)
-    marked = marked.withColumn("_end", F.when(F.col("_bounds.few").isNull(), F.element_at("_bounds.map", F.col(label))))
+    per_label = staged(plan.select(label, "whole").join(ends, label, "left"))
+    end = F.struct("whole", "train", "val")
+    if per_label.count() <= MAX_LABELS:
+        # An array from at most MAX_LABELS rows.
+        bounds = per_label.agg(F.map_from_entries(F.collect_list(F.struct(F.col(label), end))).alias("map")).scalar()
+        marked = df.withColumn("_bounds", bounds).withColumn("_end", F.element_at("_bounds", F.col(label)))
+    else:
+        marked = splittable_join(df, per_label.select(F.col(label).alias("_label"), end.alias("_end")), label, "_label", "left")
     side = F.when(F.col("_end.whole"), "all").when(
         F.col("_end.whole").isNotNull(), _side(_place(key, seed), F.col("_end.train"), F.col("_end.val"))
     )

@@ -134,3 +134,13 @@ def test_exact_split_does_not_shuffle_the_rows(spark):
 def test_split_counts(spark):
     got = split.split_counts(split.split_exact(frame(spark, 100), "key"), "d")
     assert {r["split"]: r["rows"] for r in got.collect()} == {"train": 80, "val": 10, "test": 10}
+
+
+def test_more_labels_than_are_broadcast(spark, monkeypatch):
+    """Beyond the bound the labels are joined, with the same result."""
+    df = spark.range(3000).select(F.col("id").alias("key"), (F.col("id") % 12).cast("string").alias("label"))
+    df = df.union(spark.createDataFrame([(9999, None)], "key long, label string"))
+    want = {(r["key"], r["split"]) for r in split.split_stratified(df, "key", "label").collect()}
+    monkeypatch.setattr(split, "MAX_LABELS", 3)
+    joined = split.split_stratified(df, "key", "label")
+    assert joined.columns == ["key", "label", "split"] and {(r["key"], r["split"]) for r in joined.collect()} == want and len(want) == 3001
