@@ -23,7 +23,9 @@ from regforge.functions.text import (
     word_tokens,
 )
 from regforge.functions.vectors import cosine
+from regforge.operators.joins import splittable_join
 from regforge.operators.scoring import task_of
+from regforge.plans.stages import staged
 from regforge.sources.positions import numbered_rows
 
 BLEU_ORDERS = (1, 2, 3, 4)
@@ -177,6 +179,29 @@ def with_cosine(df: DataFrame, prediction: str = "prediction_vector", reference:
     return df.withColumn(name, cosine(prediction, reference))
 
 
+def text_cosine(df: DataFrame, sample_id: str, prediction: str = "prediction", reference: str = "reference", name: str = "similarity") -> DataFrame:
+    """``sample_id`` and the cosine of the weighted words of both texts, without vectors given.
+
+    A word weighs its count in the text times ``ln((1 + texts) / (1 + texts with it)) + 1``,
+    over all predictions and references. Word counts per sample are staged (a job). The
+    frequencies meet them in a join that is broadcast by Spark's own size check, or splits a
+    word that nearly every text has; products are summed up per sample, map-side first. A
+    text without words is like nothing: 0.
+    """
+    sides = F.array(*[F.struct(F.lit(i).alias("side"), word_tokens(c).alias("words")) for i, c in enumerate((prediction, reference))])
+    parts = df.select(F.col(sample_id).alias("_id"), F.inline(sides))
+    words = explode_rows(parts, "words", "_word", keep=["_id", "side"])
+    counts = words.groupBy("_id", "_word").agg(*[F.count_if(F.col("side") == i).alias(n) for i, n in enumerate("pr")])
+    counts = staged(counts)
+    held = counts.groupBy("_word").agg(F.sum((F.col("p") > 0).cast("int") + (F.col("r") > 0).cast("int")).alias("_held"))
+    weighted = splittable_join(counts, held, "_word", "_word", "inner")
+    weight = F.log((1 + F.lit(2 * df.count())) / (1 + F.col("_held"))) + 1
+    p, r = (F.col(n) * weight for n in "pr")
+    sums = weighted.groupBy("_id").agg(F.sum(p * r).alias("_pr"), F.sum(p * p).alias("_pp"), F.sum(r * r).alias("_rr"))
+    found = df.select(F.col(sample_id).alias("_sample")).join(sums, F.col("_sample") == F.col("_id"), "left")
+    return found.select(F.col("_sample").alias(sample_id), ratio(F.col("_pr"), F.sqrt(F.col("_pp")) * F.sqrt(F.col("_rr"))).alias(name))
+
+
 def cosine_summary(df: DataFrame, similarity: str = "similarity") -> DataFrame:
     return df.agg(
         F.avg(similarity).alias("semantic_similarity"),

@@ -263,3 +263,20 @@ def test_score_by_task(pairs):
     got = {r["task"]: r for r in scoring.score_by_task(scoring.with_task_score(pairs)).collect()}
     assert got["a"]["samples"] == 2 and got["unknown"]["task_specific_accuracy"] == 0.0
     assert got["a"]["avg_ref_length"] == pytest.approx((5 + 3) / 2)
+
+
+def test_cosine_of_texts(spark):
+    """Against the formula; a text without words, an equal pair, and a word that all texts have."""
+    rows = [(1, "the cat", "the cat"), (2, "the dog the", "the bird"), (3, "", "the"), (4, None, None), (5, "sun", "moon the")]
+    texts = [t.split() if t else [] for _, p, r in rows for t in (p, r)]
+    held = Counter(w for t in texts for w in set(t))
+
+    def vector(text):
+        return {w: n * (math.log((1 + len(texts)) / (1 + held[w])) + 1) for w, n in Counter((text or "").split()).items()}
+
+    def cosine(a, b):
+        size = math.sqrt(sum(x * x for x in a.values())) * math.sqrt(sum(x * x for x in b.values()))
+        return sum(a[w] * b.get(w, 0) for w in a) / size if size else 0.0
+
+    got = {r["id"]: r["similarity"] for r in metrics.text_cosine(spark.createDataFrame(rows, "id int, prediction string, reference string").repartition(3), "id").collect()}
+    assert got == {i: pytest.approx(cosine(vector(p), vector(r))) for i, p, r in rows} and got[1] == pytest.approx(1) and got[4] == 0

@@ -631,6 +631,17 @@ rouge_lsum AS (SELECT id, task, {f_measure("coalesce(hits, 0)", "len(p)", "len(r
 ORACLE_SQL["eval_rouge_lsum"] = f"""
 WITH RECURSIVE {PAIRS}, {ROUGE_L}, {ROUGE_LSUM} SELECT task, round(avg(f), 6) AS "rougeLsum" FROM rouge_lsum GROUP BY task"""
 
+ORACLE_SQL["eval_text_cosine"] = f"""
+WITH {PAIRS},
+stacked AS (SELECT id, 0 AS side, unnest({word_tokens("prediction")}) AS w FROM pairs UNION ALL SELECT id, 1, unnest({word_tokens("reference")}) FROM pairs),
+counts AS (SELECT id, w, count(*) FILTER (WHERE side = 0) AS p, count(*) FILTER (WHERE side = 1) AS r FROM stacked GROUP BY ALL),
+weights AS (
+  SELECT w, ln((1 + 2 * (SELECT count(*) FROM pairs)) / (1 + sum(CAST(p > 0 AS INTEGER) + CAST(r > 0 AS INTEGER)))) + 1 AS x FROM counts GROUP BY w),
+cosines AS (SELECT id, sum(p * r * x * x) / nullif(sqrt(sum(p * p * x * x)) * sqrt(sum(r * r * x * x)), 0) AS s FROM counts JOIN weights USING (w) GROUP BY id),
+each_pair AS (SELECT coalesce(s, 0) AS s FROM pairs LEFT JOIN cosines USING (id))
+SELECT round(avg(s), 6) AS semantic_similarity, round(stddev_pop(s), 6) AS semantic_similarity_std,
+       round(min(s), 6) AS semantic_similarity_min, round(max(s), 6) AS semantic_similarity_max FROM each_pair"""
+
 _DIGITS = "substr(md5('42:' || replicate || ':' || conv_id || '-' || turn), 1, 8)"
 _WEIGHT = " + ".join(f"CAST({_DIGITS} >= '{limit}' AS INTEGER)" for limit in poisson_limits())
 _VALUES = ("word_f1", "word_recall", "exact_match")

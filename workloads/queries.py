@@ -528,6 +528,12 @@ def eval_rouge_lsum(t, spark, folder):
     return rounded(metrics.mean_summary(scored, ["rougeLsum"], ["task"]))
 
 
+@query
+def eval_text_cosine(t, spark, folder):
+    pairs = I.turn_pairs(t).withColumn("sample", F.concat_ws("-", "conv_id", "turn"))
+    return rounded(metrics.cosine_summary(metrics.text_cosine(pairs, "sample")))
+
+
 @query
 def eval_intervals(t, spark, folder):
     """Means with bootstrap intervals per task."""
