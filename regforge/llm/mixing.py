@@ -6,7 +6,7 @@ times its words, and what it cannot take is shared among the others.
 Within a source each document has a preference that falls gently with its length, in
 eighths. The expected number of copies is preference times a factor of the source, at most
 ``most``; the factor makes the expected words equal the target. The whole part of it is
-taken for certain. For the fraction p a document draws a uniform number u from its id and
+taken for certain. For the fraction p a document draws a uniform number u from its id and text and
 is ranked by its odds over the odds of inclusion, u / (1 - u) / (p / (1 - p)); documents are
 taken by rank until the words that are left of the target are reached, the last one in part. The
 size of the sample is fixed, its inclusion probabilities are the fractions.
@@ -16,8 +16,9 @@ ordering of one cell of the second; no window holds a source. What the mix takes
 comparison with that rank, a narrow projection over any table of the documents.
 
 A null or empty text has no words, is taken 0 times and changes nothing. A null source is
-a source of its own, the last. Rows that repeat id, source and text are taken alike.
-An empty table gives no row. Runs jobs; draws depend on ids only, so reruns agree.
+a source of its own, the last. Different texts under one id, or without one, are documents of their own; rows that
+repeat id, source and text are taken alike. An empty table gives no row. Runs jobs; draws
+depend on ids and texts only, so reruns agree.
 """
 
 from __future__ import annotations
@@ -35,7 +36,12 @@ KEY = ("absent", "origin")
 
 def _rows(docs: DataFrame) -> DataFrame:
     """The narrow rows that targets and ranks are found from."""
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), *_key(docs), word_count(text_of()).alias("size"))
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), *_key(docs), *_measures())
+
+
+def _measures() -> list[Column]:
+    """Words, and a hash that tells texts with one id apart."""
+    return [word_count(text_of()).alias("size"), F.xxhash64(text_of()).alias("mark")]
 
 
 def _key(docs: DataFrame) -> list[Column]:
@@ -76,17 +82,22 @@ def targets(rows: DataFrame, share: float, most: float, weights: tuple[int, ...]
 def _ranked(rows: DataFrame, most: float) -> DataFrame:
     """``rows`` with ``factor``: whole copies, fraction, and the ranking value in [0, 1)."""
     copies = F.least(F.lit(most), preference(F.col("size")) * F.coalesce("factor", F.lit(0.0)))
-    draw = (F.pmod(F.xxhash64(F.lit(SEED), "doc_id", *KEY), F.lit(1 << 52)) + 0.5) / float(1 << 52)
+    draw = (F.pmod(F.xxhash64(F.lit(SEED), "doc_id", "mark", *KEY), F.lit(1 << 52)) + 0.5) / float(1 << 52)
     rows = rows.withColumn("copies", copies).withColumn("whole", F.floor("copies")).withColumn("part", F.col("copies") - F.col("whole"))
     odds = draw / (1 - draw) * (1 - F.col("part")) / F.col("part")
     return rows.withColumn("rank", F.when(F.col("part") > 0, odds / (1 + odds)))
 
 
+def _place(ident: str, mark: str) -> list[Column]:
+    """What orders rows of equal rank."""
+    return [F.coalesce(ident, F.lit(-(1 << 63))).alias("id"), F.col(mark).alias("mark")]
+
+
 def _cut(rows: DataFrame, goals: DataFrame) -> DataFrame:
     """(absent, origin, last, cell): the last row that the sample takes of each source, with
     the number of words it still has room for, and the open cell it lies in."""
     sampled = rows.filter("rank is not null and size > 0").join(goals, list(KEY))
-    sampled = sampled.select(*KEY, "doc_id", "size", "rank", "goal", F.lit(0).alias("cell"), F.lit(0.0).alias("before"))
+    sampled = sampled.select(*KEY, "doc_id", "mark", "size", "rank", "goal", F.lit(0).alias("cell"), F.lit(0.0).alias("before"))
     for depth in (1, 2):
         # Words by bin of the open cell, to find the bin in which the goal is reached.
         cell = F.floor(F.col("rank") * float(BINS**depth)).cast("long")
@@ -96,10 +107,10 @@ def _cut(rows: DataFrame, goals: DataFrame) -> DataFrame:
         found = counts.filter("upto >= goal").groupBy(*KEY).agg(F.min(F.struct("cell", (F.col("upto") - F.col("words")).alias("before"))).alias("open"))
         open_ = found.select(*KEY, F.col("open.cell").alias("cell"), F.col("open.before").alias("before"))
         sampled = staged(sampled.drop("cell", "before").withColumn("cell", cell).join(open_, [*KEY, "cell"]), "mix-cell")
-    order = Window.partitionBy(*KEY).orderBy("rank", "doc_id").rowsBetween(Window.unboundedPreceding, 0)
+    order = Window.partitionBy(*KEY).orderBy("rank", *_place("doc_id", "mark")).rowsBetween(Window.unboundedPreceding, 0)
     upto = F.col("before") + F.sum("size").over(order)
     sampled = sampled.withColumn("room", F.round(F.col("goal") - (upto - F.col("size"))).cast("long")).filter("room > 0")
-    last = F.struct("rank", F.coalesce("doc_id", F.lit(-(1 << 63))).alias("id"), F.least("room", "size").alias("words"))
+    last = F.struct("rank", *_place("doc_id", "mark"), F.least("room", "size").alias("words"))
     return sampled.groupBy(*KEY).agg(F.max(last).alias("last"), F.max("cell").alias("cell"))
 
 
@@ -118,14 +129,14 @@ def mixing_plan(docs: DataFrame, share: float = 1.5, most: float = 2.0, weights:
     plan = goal.join(_cut(ranked, left), list(KEY), "left")
     # Cells end at multiples of one width: a row before the open cell is taken, one of it is compared.
     width = 1.0 / BINS**2
-    plan = plan.select(*KEY, "source_size", "target", "factor", (F.col("cell") * width).alias("floor"), F.col("last.rank").alias("cut"), F.col("last.id").alias("cut_id"), F.col("last.words").alias("cut_words"))
+    plan = plan.select(*KEY, "source_size", "target", "factor", (F.col("cell") * width).alias("floor"), F.col("last.rank").alias("cut"), F.col("last.id").alias("cut_id"), F.col("last.mark").alias("cut_mark"), F.col("last.words").alias("cut_words"))
     return rows, staged(plan, "mix-plan")
 
 
 def taken_copies(rows: DataFrame, plan: DataFrame, most: float = 2.0) -> DataFrame:
     """``rows`` (doc_id, absent, origin, size, ...) with ``whole`` copies and sampled ``words``."""
     ranked = _ranked(rows.join(plan, list(KEY)), most)
-    place, cut = F.struct("rank", F.coalesce("doc_id", F.lit(-(1 << 63))).alias("id")), F.struct(F.col("cut").alias("rank"), F.col("cut_id").alias("id"))
+    place, cut = F.struct("rank", *_place("doc_id", "mark")), F.struct(F.col("cut").alias("rank"), *_place("cut_id", "cut_mark"))
     before = F.col("floor").isNull() | (F.col("rank") < F.col("floor")) | (F.col("cut").isNotNull() & (place < cut))
     words = F.when(F.col("rank").isNull() | (F.col("size") == 0), 0).when(before, F.col("size")).when(place == cut, F.col("cut_words")).otherwise(0)
     return ranked.withColumn("words", words.cast("long"))
@@ -141,7 +152,7 @@ def mixed_documents(docs: DataFrame, share: float = 1.5, most: float = 2.0) -> D
     """The documents of the mix with their columns; a document taken twice comes twice."""
     _, plan = mixing_plan(docs, share, most)
     keyed = docs.select(
-        F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.col("doc_id").cast("long").alias("doc_id"), *_key(docs), word_count(text_of()).alias("size")
+        F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.col("doc_id").cast("long").alias("doc_id"), *_key(docs), *_measures()
     )
     # The one document that is sampled in part comes whole if at least half of it fits.
     times = F.when(F.col("size") > 0, F.col("whole") + (F.col("words") * 2 >= F.col("size")).cast("long")).otherwise(0).cast("long")

@@ -150,3 +150,11 @@ def test_names_that_begin_sentences_are_slots(spark):
     docs = spark.createDataFrame(texts, "doc_id long, text string")
     found = contaminated_documents(docs, spark.createDataFrame([(1, item)], "item_id long, text string"), cover=0.5).collect()
     assert [r["doc_id"] for r in found] == [1]
+
+
+@pytest.mark.parametrize("ident", ["if(id % 2 = 0, null, id)", "id % 10", "cast(null as bigint)"])
+def test_targets_are_met_with_missing_and_repeated_ids(spark, ident):
+    """Different texts under one id, or without an id, are drawn one by one."""
+    docs = spark.range(4000).selectExpr(f"{ident} as doc_id", "concat('t', id, repeat(' w', cast(20 + id % 50 as int))) as text", "concat('s', id % 3) as source")
+    got = mix(docs).groupBy("source_size", "target").sum("taken").collect()
+    assert len(got) == 3 and all(abs(r["sum(taken)"] - r["target"]) <= 1 for r in got)
