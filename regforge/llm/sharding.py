@@ -137,10 +137,11 @@ def kd_tree(points: DataFrame, shards: int) -> DataFrame:
     return placed.withColumn("shard", _by_node(first).cast("int"))
 
 
-def kd_shards(docs: DataFrame, shards: int = 16, part: float = 0.005, slot_rows: int = 100_000) -> DataFrame:
+def kd_shards(docs: DataFrame, shards: int = 16, part: float = 0.04, slot_rows: int = 100_000) -> DataFrame:
     """doc_id, size, text_crc32, law, shard, slot, grown_shard for every row.
 
-    The law is ``bytes``: shards hold near-equal bytes. A null text has size 1, null metadata
+    The law is ``bytes``: shards hold near-equal bytes, and copies of a text share a shard
+    as long as they weigh no more than ``part`` of one (4 %). A null text has size 1, null metadata
     is a value of its own, repeated rows are rows of their own. An empty table gives no
     row. Fewer units than shards leave shards empty. Other columns are ignored. Runs jobs.
     """

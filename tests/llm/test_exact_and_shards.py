@@ -66,3 +66,18 @@ def test_a_hot_text_is_dealt_to_several_shards(spark):
 
 def test_empty(empty):
     assert ed.exact_dedup(empty).count() == 0 and kd_shards(empty).count() == 0
+
+
+def test_groups_of_equal_texts_stay_together(spark):
+    """Copies that weigh up to 4 % of a shard share one, whatever their ids; bytes stay near equal."""
+    rows = [(i, f"text {i} " + "x " * (200 + i * 37 % 300)) for i in range(1500)]
+    rows += [(10_000 + i, f"copied {i // 3} " + "y " * 50) for i in range(300)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    got = kd_shards(docs).collect()
+    shards, groups = defaultdict(int), defaultdict(set)
+    texts = dict(rows)
+    for r in got:
+        shards[r["shard"]] += r["size"]
+        groups[texts[r["doc_id"]]].add(r["shard"])
+    assert all(len(g) == 1 for g in groups.values())
+    assert max(shards.values()) < 1.05 * min(shards.values())
