@@ -6,9 +6,14 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from regforge import constants as C
-from regforge.functions.columns import as_column, ratio
+from regforge.functions.columns import as_column, explode_rows, ratio
 from regforge.functions.text import folded, keyword_hits, shared_words, tokens
+from regforge.plans.stages import staged
 
+#: Characters by which a place of a text is looked up among keywords.
+ANCHOR = 3
+#: Keywords that are sent to every task.
+BROADCAST_KEYWORDS = 1_000_000
 STATUS_RULE = "status"
 ANY_WORD_RULE = "any_word"
 WORD_SHARE_RULE = "word_share"
@@ -61,6 +66,44 @@ def with_keyword_score(
     return counted.withColumn(score, ratio(F.col(matches), F.col(total)))
 
 
+def suite_scores(
+    df: DataFrame, sample_id: str, text: str, suite: DataFrame, keyword: str = "keyword", matches: str = "keyword_matches",
+    total: str = "total_keywords", score: str = "relevance_score",
+) -> DataFrame:
+    """The same for a whole table of keywords against every text: ``sample_id`` (unique) and
+    the three columns. A keyword that is listed twice counts twice; NULL is none.
+
+    Every place of a text is looked up by its first characters (as many as the keyword has,
+    up to ``ANCHOR``) in the table of keywords, and the candidates are compared in full, so
+    the time hardly depends on the number of keywords. The pieces compared are as long as
+    the longest keyword. The keywords are staged and broadcast up to a counted bound.
+    """
+    words = suite.filter(F.col(keyword).isNotNull()).groupBy(F.lower(keyword).alias("_word")).agg(F.count(F.lit(1)).alias("_listed"))
+    words = staged(words.withColumn("_anchor", F.substring("_word", 1, ANCHOR)))
+    sizes = words.agg(
+        F.sum("_listed").alias("listed"), F.sum(F.when(F.col("_word") == "", F.col("_listed"))).alias("blank"),
+        F.max(F.length("_word")).alias("longest"), F.collect_set(F.length("_anchor")).alias("anchors"), F.count(F.lit(1)).alias("words"),
+    ).first()
+    found = df.select(F.col(sample_id).alias("_sample"))
+    anchors = sorted(n for n in sizes["anchors"] if n)
+    if anchors:
+        low = F.lower(F.coalesce(F.col(text), F.lit("")))
+        # The piece at every place, in one pass over the text.
+        places = F.regexp_extract_all(low, F.lit(f"(?s)(?=(.{{1,{sizes['longest']}}}))"), F.lit(1))
+        pieces = explode_rows(df, places, "_piece", keep=[F.col(sample_id).alias("_sample")])
+        heads = F.array(*[F.substring("_piece", 1, n) for n in anchors])
+        heads = pieces.select("_sample", "_piece", F.explode(F.array_distinct(heads)).alias("_anchor"))
+        listed = F.broadcast(words) if sizes["words"] <= BROADCAST_KEYWORDS else words
+        hits = heads.join(listed, "_anchor").filter(F.startswith("_piece", "_word")).select("_sample", "_word", "_listed").distinct()
+        found = found.join(hits.groupBy("_sample").agg(F.sum("_listed").alias("_hits")), "_sample", "left")
+    else:
+        found = found.withColumn("_hits", F.lit(0))
+    hit = (F.coalesce("_hits", F.lit(0)) + F.lit(sizes["blank"] or 0)).cast("long")
+    return found.select(F.col("_sample").alias(sample_id), hit.alias(matches), F.lit(sizes["listed"] or 0).cast("long").alias(total)).withColumn(
+        score, ratio(F.col(matches), F.col(total))
+    )
+
+
 def score_by_task(
     df: DataFrame, score: str = "score", task: str = "task",
     prediction: str = "prediction", reference: str = "reference",

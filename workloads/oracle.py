@@ -780,6 +780,13 @@ hits AS (SELECT doc_id, {keyword_hits("text", "keywords")} AS m, len(keywords) A
 SELECT doc_id, m AS keyword_matches, k AS total_keywords,
        round(CASE WHEN k > 0 THEN m / k ELSE 0 END, 6) AS relevance_score FROM hits"""
 
+ORACLE_SQL["keyword_suite"] = f"""
+WITH suite AS (SELECT DISTINCT unnest({tokens("text")}) AS keyword FROM benchmark),
+turns AS (SELECT conv_id || '-' || turn AS sample, lower(text) AS low FROM conversations WHERE role = 'user')
+SELECT sample, count(*) FILTER (WHERE contains(low, lower(keyword))) AS keyword_matches, count(*) AS total_keywords,
+       round(count(*) FILTER (WHERE contains(low, lower(keyword))) / count(*), 6) AS relevance_score
+FROM turns, suite GROUP BY sample"""
+
 SCORED = f"""{PAIRS},
 scored AS (
   SELECT lpad(CAST(conv_id AS VARCHAR), 12, '0') || '-' || lpad(CAST(turn AS VARCHAR), 6, '0') AS prompt_id, task,

@@ -589,6 +589,14 @@ def keyword_score(t, spark, folder):
     return rounded(scored.select("doc_id", "keyword_matches", "total_keywords", "relevance_score"))
 
 
+@query
+def keyword_suite(t, spark, folder):
+    """Every word of the benchmark looked for in every user turn."""
+    turns = t("conversations").filter("role = 'user'").select(F.concat_ws("-", "conv_id", "turn").alias("sample"), "text")
+    suite = explode_rows(t("benchmark"), X.tokens("text"), "keyword").distinct()
+    return rounded(scoring.suite_scores(turns, "sample", "text", suite))
+
+
 @query
 def compare_winner(t, spark, folder):
     return rounded(compare.winners(compare.scored_responses(I.responses(t))))
