@@ -46,16 +46,18 @@ UNITS = (
 def canonical_words(text: Column) -> Column:
     """The words of a text without punctuation, with a mark before slots and other capitalised words."""
     units = "|".join(sorted(UNITS, key=len, reverse=True))
+    # Every pattern begins with the character it looks for, what precedes it is checked after.
     # Any run of blanks is one blank; single ones are left alone.
-    out = F.regexp_replace(text, r" *[\s\p{Z}\x01-\x04\x85&&[^ ]][\s\p{Z}\x01-\x04\x85]*| {2,}", " ")
-    out = F.regexp_replace(out, rf"(?<![\p{{L}}\p{{N}}.,])(\d(?:[\d.,]*\d)?)(?=(?i:{units})(?![\p{{L}}\p{{N}}]))", "$1 ")
-    out = F.regexp_replace(out, r"(?<![\p{L}\p{N}.,])\d(?:[\d.,]*\d)?(?!\p{L})", NUMBER + "$0")
-    out = F.regexp_replace(out, rf"(?<=\d )(?i:{units})(?![\p{{L}}\p{{N}}])", UNIT + "$0")
-    out = F.regexp_replace(out, r"(?<=[\p{Ll},;] )\p{Lu}[\p{L}\p{N}]*", NAME + "$0")
-    out = F.regexp_replace(out, r"(?<![\p{L}\p{N}\x01\x03])\p{Lu}", CAPITAL + "$0")
+    out = F.regexp_replace(text, "[\x01-\x04\t-\r\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]+", " ")
+    out = F.regexp_replace(out, " {2,}", " ")
+    out = F.regexp_replace(out, rf"(\d(?<![\p{{L}}\p{{N}}.,]\d)(?:[\d.,]*\d)?)(?=(?i:{units})(?![\p{{L}}\p{{N}}]))", "$1 ")
+    out = F.regexp_replace(out, r"\d(?<![\p{L}\p{N}.,]\d)(?:[\d.,]*\d)?(?!\p{L})", NUMBER + "$0")
+    out = F.regexp_replace(out, rf"(\d )((?i:{units})(?![\p{{L}}\p{{N}}]))", "$1" + UNIT + "$2")
+    out = F.regexp_replace(out, r"\p{Lu}(?<=[\p{Ll},;] \p{Lu})[\p{L}\p{N}]*", NAME + "$0")
+    out = F.regexp_replace(out, r"\p{Lu}(?<![\p{L}\p{N}\x01\x03]\p{Lu})", CAPITAL + "$0")
     # Decimal signs are part of a number; other signs separate.
-    out = F.regexp_replace(out, r"(?<!\d)[.,]|[.,](?!\d)|[^\p{L}\p{N}\x01-\x04.,]+", " ")
-    return F.filter(F.split(F.lower(out), " +"), lambda w: w != "")
+    out = F.regexp_replace(out, r"[.,](?:(?<!\d[.,])|(?!\d))|[^\p{L}\p{N}\x01-\x04., ]+", " ")
+    return F.array_remove(F.split(F.lower(out), " +"), "")
 
 
 def read_in(words: Column, way: int) -> Column:
