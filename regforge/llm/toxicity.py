@@ -188,6 +188,15 @@ def suspicious(text: str) -> set[str]:
     return {r[at : at + PIECE] for r in runs for at in range(0, max(1, len(r) - PIECE + STEP), STEP)}
 
 
+def few_readings(run: str) -> tuple[str, ...] | None:
+    """The readings of a run of letters with one letter doubled: with it and without. Both are
+    among the likeliest ``READINGS``, so there is nothing to search. None for other runs."""
+    if not run.isalpha():
+        return None
+    at = [i for i in range(1, len(run)) if run[i] == run[i - 1]]
+    return (run, run[: at[0]] + run[at[0] + 1 :]) if len(at) == 1 else None
+
+
 class Reader:
     """The words of texts, with the readings of earlier runs at hand."""
 
@@ -204,7 +213,7 @@ class Reader:
             else:
                 words.update(_WORD.findall(token))
         for run in suspicious(text):
-            for reading in self.read(run):
+            for reading in few_readings(run) or self.read(run):
                 words.update(_WORD.findall(reading))
         return words
 

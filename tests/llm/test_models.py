@@ -131,3 +131,13 @@ def test_each_spelling_of_the_channel_is_restored(spark):
     }
     assert not [hidden for hidden, word in spelled.items() if word not in reader.words(f"what an {hidden} he is")]
     assert tx.suspicious("a plain text, with words... and 2024 numbers from 2024-10-12") == set()
+
+
+def test_runs_with_one_doubled_letter_need_no_search():
+    """The short cut returns what the search returns."""
+    rng = np.random.default_rng(4)
+    model = rng.normal(size=(tx.ALPHABET,) * 3).astype(np.float32)
+    for run in ("anntly", "ssay", "will", "aab", "öffne", "übber", "x" * 2):
+        assert set(tx.few_readings(run)) == set(tx.readings(run, model))
+    for run in ("idioot!", "i.d", "aaab", "boottee", "b00k", "plain"):
+        assert tx.few_readings(run) is None
