@@ -20,7 +20,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from regforge.llm import toxicity
-from regforge.llm.common import staged, table, text_of
+from regforge.llm.common import small_batches, staged, table, text_of
 from regforge.llm.decontaminate import contaminated_documents
 from regforge.llm.mixing import mixed_documents
 from regforge.llm.near_dedup import near_duplicates
@@ -29,13 +29,16 @@ from regforge.llm.sharding import kd_shards
 TOXIC = 0.3
 NEAR_PERCENT = 80
 BROADCAST_ROWS = 1_000_000
+TEXT_ROWS = 500
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     model = toxicity.fit(docs, table(spark, sf_dir, "labels"))
-    return toxicity.scored(docs, model).filter(F.col("__score") < TOXIC).drop("__score")
+    # Whole texts go through Python: few at a time, here and not when the stage is written.
+    with small_batches(spark, TEXT_ROWS):
+        return staged(toxicity.scored(docs, model).filter(F.col("__score") < TOXIC).drop("__score"), "not-toxic")
 
 
 def key_of() -> Column:
