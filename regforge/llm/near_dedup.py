@@ -3,16 +3,22 @@
 1. Each text becomes its set of five-word shingles, hashed, and a MinHash signature.
    Texts with equal sets form a class; only its band hashes are kept, and only classes go on.
 2. Banding: classes that share a band of the signature meet in a bucket.
-3. In rounds, each bucket picks hubs among the classes outside its largest component, and
-   pairs them with the classes of other components. Hubs then leave the bucket. A bucket
-   with few classes outside takes them all as hubs and is done; others draw a number that
-   doubles with the round. Connected classes are not compared again, so a bucket of near
-   copies costs pairs in proportion to its size, and no bucket ends before each of its
-   classes has met or joined all others.
-4. A pair's signatures are compared batch by batch. It is pruned as soon as the posterior
+3. First, a bucket of few classes pairs them all, a larger one pairs the class that meets
+   most others (the original of a group of near copies, as a rule) with the rest. Links
+   join components.
+4. The classes of larger buckets that are still apart meet again by their rare shingles:
+   with shingles in ascending order of frequency, texts of similarity t share one of the
+   first n - ceil(t n) + 1 of each. Texts that share a passage beside as many shingles of
+   their own have none of these in common. The place of the common shingle bounds the overlap, and pairs that it rules out are not made.
+   This is exact. In rounds, each of these buckets takes hubs from outside its largest
+   component, all of them or a number that doubles with the round, and pairs them with the
+   classes of other components; hubs then leave the bucket. Connected classes are not
+   compared again, so a bucket of near copies costs pairs in proportion to its size, and no
+   bucket ends before each of its classes has met or joined all that it may resemble.
+5. A pair's signatures are compared batch by batch. It is pruned as soon as the posterior
    probability (uniform prior) that its similarity reaches the threshold is below
    ``MISS``. Survivors are compared on their full sets.
-5. Links join components.
+6. Links join components.
 
 Rows with equal ids count as one document. Texts without words are linked with nothing and
 stay. A null id takes part as a value of its own. Empty tables give no row; other columns
@@ -28,13 +34,14 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from regforge.functions.columns import explode_rows
 from regforge.llm.common import small_batches, staged, text_of
 from regforge.llm.components import connected_components
 from regforge.llm.tokens import hash_words, mix, shingle_set
+from regforge.operators.joins import splittable_join
 
 HASHES = 256
 #: The largest chance that the bands miss a pair at the threshold.
@@ -44,7 +51,10 @@ MISS = 1e-6
 BROADCAST_ROWS = 1_000_000
 #: Texts that are handed to Python at a time.
 TEXT_ROWS = 500
+#: Classes of a band bucket that are all paired.
 FEW = 16
+#: Hubs that a bucket of a rare shingle takes at once, and the first draw of a larger one.
+MANY = 512
 HUBS = 6
 _FACTORS = np.random.default_rng(7).integers(1, 2**63, HASHES // 2, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 
@@ -180,21 +190,64 @@ def verify(pairs: DataFrame, facts: DataFrame, percent: int) -> DataFrame:
         return staged(rest.mapInArrow(functools.partial(_compare, percent), "a long, b long"), "pairs-linked")
 
 
-def _round_pairs(members: DataFrame, turn: int) -> tuple[DataFrame, DataFrame]:
-    """Pairs to compare in this round, and the members (staged) that go on to the next."""
-    parts = members.groupBy("bucket", "comp").agg(F.count(F.lit(1)).alias("size"))
-    state = parts.groupBy("bucket").agg(F.max(F.struct("size", "comp")).alias("top"), F.sum("size").alias("all"), F.count(F.lit(1)).alias("parts"))
-    state = state.filter("parts > 1").select("bucket", F.col("top.comp").alias("top"), (F.col("all") - F.col("top.size")).alias("outside"))
-    live = members.join(state, "bucket")
-    done = F.col("outside") <= FEW
+def _first_round(members: DataFrame) -> DataFrame:
+    """The members with a mark ``hub`` (and ``done`` where all of a bucket are hubs), staged."""
+    sized = members.join(members.groupBy("bucket").agg(F.count(F.lit(1)).alias("size")), "bucket")
+    sized = staged(sized.join(sized.groupBy("cls").agg(F.sum("size").alias("meets")), "cls"), "meets")
+    first = sized.filter(F.col("size") > FEW).groupBy("bucket").agg(F.max(F.struct("meets", "cls")).getField("cls").alias("first"))
+    live = sized.join(first, "bucket", "left").withColumn("done", F.col("first").isNull())
+    return staged(live.select("bucket", "cls", "n", "comp", "at", "done", (F.col("done") | (F.col("cls") == F.col("first"))).alias("hub")), "members")
+
+
+def _later_round(members: DataFrame, turn: int) -> DataFrame:
+    """As ``_first_round``, for the buckets whose classes are still apart."""
+    live = members.join(_apart(members), "bucket")
+    done = F.col("outside") <= MANY
     # The draw does not depend on the bucket, so the buckets of one group share their hubs and pairs.
     drawn = F.pmod(F.xxhash64("cls", F.lit(turn)), F.lit(1 << 20)) < F.lit(float(HUBS << min(turn, 40))) / F.col("outside") * (1 << 20)
-    live = staged(live.withColumn("done", done).withColumn("hub", (F.col("comp") != F.col("top")) & (done | drawn)), "members")
-    hubs = live.filter("hub").selectExpr("bucket", "cls as hub_cls", "comp as hub_comp", "n as hub_n")
-    pairs = live.join(hubs, "bucket").filter("comp <> hub_comp").select(
-        F.least("cls", "hub_cls").alias("a"), F.greatest("cls", "hub_cls").alias("b"), F.least("n", "hub_n").alias("small"), F.greatest("n", "hub_n").alias("great")
-    )
-    return pairs, live.filter("not done and not hub").select("bucket", "cls", "n", "comp")
+    return staged(live.withColumn("done", done).withColumn("hub", (F.col("comp") != F.col("top")) & (done | drawn)), "members")
+
+
+def _apart(members: DataFrame) -> DataFrame:
+    """(bucket, top, outside): the largest component of a bucket and the classes outside it."""
+    parts = members.groupBy("bucket", "comp").agg(F.count(F.lit(1)).alias("size"))
+    state = parts.groupBy("bucket").agg(F.max(F.struct("size", "comp")).alias("top"), F.sum("size").alias("all"), F.count(F.lit(1)).alias("parts"))
+    return state.filter("parts > 1").select("bucket", F.col("top.comp").alias("top"), (F.col("all") - F.col("top.size")).alias("outside"))
+
+
+def _pairs(live: DataFrame, percent: int) -> DataFrame:
+    """Hubs with the classes of other components, where places and sizes allow the similarity."""
+    hubs = live.filter("hub").selectExpr("bucket", "cls as hub_cls", "comp as hub_comp", "n as hub_n", "at as hub_at")
+    overlap = F.least(F.col("n") - F.col("at"), F.col("hub_n") - F.col("hub_at"))
+    fits = overlap * (100 + percent) >= (F.col("n") + F.col("hub_n")) * percent
+    # A pair of two hubs comes once.
+    once = ~F.col("hub") | (F.col("cls") < F.col("hub_cls"))
+    met = live.join(hubs, "bucket").filter((F.col("comp") != F.col("hub_comp")) & fits & once)
+    return met.select(F.least("cls", "hub_cls").alias("a"), F.greatest("cls", "hub_cls").alias("b")).distinct()
+
+
+def _words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for cls, shingles in zip(batch.column("cls").to_pylist(), batch.column("shingles").to_pylist(), strict=True):
+            found = np.frombuffer(shingles, np.int64)
+            same = (np.full(len(found), value, np.int64) for value in (cls, len(found)))
+            yield pa.RecordBatch.from_arrays([pa.array(x) for x in (*same, found)], ["cls", "n", "bucket"])
+
+
+def rare_buckets(classes: DataFrame, facts: DataFrame, percent: int) -> DataFrame:
+    """(bucket, cls, n, at): the shingles by which a class can meet those similar to it.
+
+    ``at`` is the shingle's place in ascending order of frequency among ``classes``; shingles
+    of one class come first, and meet nothing.
+    """
+    words = facts.join(classes, "cls", "left_semi").select("cls", "shingles")
+    with small_batches(facts.sparkSession, TEXT_ROWS):
+        words = staged(words.mapInArrow(_words, "cls long, n long, bucket long"), "words")
+    often = words.groupBy("bucket").agg(F.count(F.lit(1)).alias("often")).filter("often > 1")
+    shared = splittable_join(words, often, "bucket", "bucket", "inner")
+    text = Window.partitionBy("cls")
+    place = F.col("n") - F.count(F.lit(1)).over(text) + F.row_number().over(text.orderBy("often", "bucket")) - 1
+    return shared.withColumn("at", place).filter((F.col("n") - F.col("at")) * 100 >= F.col("n") * percent).select("bucket", "cls", "n", "at")
 
 
 def _renamed(rows: DataFrame, column: str, roots: DataFrame) -> DataFrame:
@@ -223,15 +276,20 @@ def near_duplicates(docs: DataFrame, percent: int = 85, size: int = 5) -> DataFr
     several = rows.filter("cls is not null").groupBy("doc_id").agg(F.min("cls").alias("a"), F.max("cls").alias("top")).filter("a <> top")
     found = staged(rows.join(several, rows.doc_id.eqNullSafe(several.doc_id)).selectExpr("cls as a", "a as b").filter("a <> b"), "links")
     roots, turn = connected_components(found), 0
-    members = _renamed(members.withColumn("comp", F.col("cls")), "comp", roots)
+    members = _renamed(members.withColumn("comp", F.col("cls")), "comp", roots).withColumn("at", F.lit(0).cast("long"))
     while not members.isEmpty():
-        pairs, rest = _round_pairs(members, turn)
-        pairs = pairs.filter(F.col("small") * 100 >= F.col("great") * percent).select("a", "b").distinct()
-        found = verify(pairs, facts, percent)
+        live = _later_round(members, turn) if turn else _first_round(members)
+        found = verify(_pairs(live, percent), facts, percent)
         for end in "ab":
             found = _renamed(found, end, roots)
         moved = connected_components(found)
-        members = staged(_renamed(rest, "comp", moved), "members")
+        rest = _renamed(live.filter("not done"), "comp", moved)
+        if turn:
+            members = staged(rest.filter("not hub").select("bucket", "cls", "n", "comp", "at"), "members")
+        else:
+            rest = staged(rest, "open")
+            apart = staged(rest.join(_apart(rest), "bucket", "left_semi").select("cls", "comp").distinct(), "apart")
+            members = staged(rare_buckets(apart, facts, percent).join(apart, "cls"), "members")
         roots = staged(_renamed(roots, "root", moved).unionByName(moved.join(roots.select("node"), "node", "left_anti")), "roots")
         turn += 1
     comp = roots

@@ -85,3 +85,30 @@ def test_word_hashes_do_not_depend_on_pieces(monkeypatch):
     assert np.diff(b).tolist() == [0, 1, 3, 80, 2] and w[b[2]] == w[b[2] + 1] == w[b[2] + 2]
     assert len(shingle_set(w[b[2] : b[3]], 5)) == 1
     assert Counter(w[b[3] : b[4]].tolist()).most_common(1)[0][1] == 40
+
+
+def test_texts_that_share_a_passage_meet_by_rare_shingles(spark):
+    """A bucket of more than FEW classes that stay apart, near copies among them."""
+    passage = [f"p{k}" for k in range(60)]
+    rows = [(i, " ".join([f"own{i}x{k}" for k in range(12)] + passage)) for i in range(40)]
+    rows += [(100 + i, rows[i][1] + f" end{i}") for i in range(0, 40, 4)]
+    rows += [(200 + i, " ".join([*passage[:i], f"in{i}", *passage[i + 1 :]])) for i in range(5, 55, 3)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    have = sorted((tuple(r) for r in nd.near_duplicates(docs, 80).select("doc_id", "n_shingles", "component_id", "kept").collect()), key=str)
+    assert have == brute_force(rows, 80)
+
+
+def test_rare_buckets_keep_every_similar_pair(spark):
+    """Brute force: two sets at the threshold share a bucket, at places that allow the pair."""
+    rng = np.random.default_rng(3)
+    common = rng.integers(1, 500, 80)
+    sets = {c: np.unique(np.concatenate([rng.choice(common, 60), rng.integers(1, 5000, rng.integers(1, 12))])).astype(np.uint64) for c in range(60)}
+    sets |= {100 + c: np.unique(np.append(sets[c], np.uint64(9000 + c))) for c in range(20)}
+    facts = spark.createDataFrame([(c, bytearray(s.tobytes())) for c, s in sets.items()], "cls long, shingles binary")
+    classes = facts.selectExpr("cls", "cls as comp")
+    for percent in (80, 85):
+        live = nd.rare_buckets(classes, facts, percent).withColumn("comp", nd.F.col("cls")).withColumn("hub", nd.F.lit(True))
+        have = {(r["a"], r["b"]) for r in nd._pairs(live, percent).collect()}
+        similar = lambda x, y: 100 * len(np.intersect1d(x, y)) >= percent * len(np.union1d(x, y))  # noqa: B023, E731
+        want = {(a, b) for a in sets for b in sets if a < b and similar(sets[a], sets[b])}
+        assert len(want) >= 20 and want <= have
