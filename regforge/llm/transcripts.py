@@ -5,14 +5,17 @@ line begins a turn. What is observed is a symbol: the kind of speaker marker the
 starts with, its length, and whether it ends in a question mark. Start, transition and
 emission probabilities are counted in Spark over lines whose turns are known.
 
-Roles are recovered by Viterbi. Long transcripts are cut into blocks of ``BLOCK`` places:
+Roles are recovered by Viterbi. The lines are dealt into ranges of their order and cut into
+blocks of at most ``BLOCK`` lines, whatever their places are, so a transcript whose lines
+have no place, or all the same, is cut like any other. For a transcript of several blocks,
 the block's best scores between any two states form a matrix, the matrices of a transcript
 (one row per block) give the states at the cuts, and the blocks are then decoded apart
 with those ends. The result is that of one pass over the whole transcript, and no task
 holds more than one block of it. Turns are rendered with their marker removed.
 
 A null text is one empty line; null ids form one transcript, null places come first.
-Repeated rows are lines of their own. An empty table gives no row; without examples all
+Lines of equal place and number come in the order of a hash of the line. Repeated rows are
+lines of their own. An empty table gives no row; without examples all
 states are equally likely. Other columns are ignored.
 """
 
@@ -28,12 +31,14 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from regforge.functions.columns import explode_rows
-from regforge.llm.common import staged
+from regforge.llm.common import fold, staged
 
 ROLES = ("user", "assistant", "system")
 #: States 0 to 2 begin a turn of the role, 3 to 5 go on with it.
 STATES = 2 * len(ROLES)
 BLOCK = 512
+#: Transcripts whose crc32 of the id leaves ``HELD_OUT`` are not learned from.
+FOLDS, HELD_OUT = 4, 2
 LENGTHS = (0, 20, 60, 140, 280)
 MARKERS = (
     r"^\s*(?:\*\*|\[|<\|?|#+ )?\s*(?:user|human|customer|question|q|me)\s*(?:\*\*|\]|\|?>)?\s*[:>]\s*",
@@ -217,8 +222,17 @@ def _parse(model: MarkovModel, batches: Iterator[pd.DataFrame]) -> Iterator[pd.D
         )
 
 
+def _in_blocks(lines: DataFrame) -> DataFrame:
+    """The lines with ``tie`` and ``block``: ids that rise with the order of the lines."""
+    # Equal rows may be any number, so their number decides too where a range ends.
+    rows = lines.withColumn("tie", F.xxhash64("line")).withColumn("number", F.monotonically_increasing_id())
+    order = ["conv_id", "turn", "line_no", "tie", "number"]
+    rows = rows.repartitionByRange(*order).sortWithinPartitions(*order)
+    return rows.withColumn("block", F.floor(F.monotonically_increasing_id() / F.lit(BLOCK)).cast("long")).drop("number")
+
+
 def _dealt(rows: DataFrame) -> DataFrame:
-    return rows.repartition("conv_id", "block").sortWithinPartitions("conv_id", "block", "turn", "line_no", "line")
+    return rows.repartition("conv_id", "block").sortWithinPartitions("conv_id", "block", "turn", "line_no", "tie")
 
 
 def parse(lines: DataFrame, model: MarkovModel) -> DataFrame:
@@ -227,8 +241,8 @@ def parse(lines: DataFrame, model: MarkovModel) -> DataFrame:
     ``lines`` has conv_id, turn, line_no and line. Positions of a transcript count from 0.
     A turn that goes on over a cut between blocks comes in parts, the later ones continued.
     """
-    rows = lines.select("conv_id", "turn", "line_no", "line", symbol(F.col("line")).alias("symbol"), unmarked(F.col("line")).alias("bare"))
-    rows = staged(rows.withColumn("block", F.floor(F.coalesce("turn", F.lit(0)) / BLOCK).cast("long")), "lines")
+    rows = _in_blocks(lines.select("conv_id", "turn", "line_no", "line"))
+    rows = staged(rows.select("*", symbol(F.col("line")).alias("symbol"), unmarked(F.col("line")).alias("bare")), "lines")
     several = rows.groupBy("conv_id").agg(F.min("block").alias("low"), F.max("block").alias("high")).filter("low < high").select(F.col("conv_id").alias("id"))
     long_ = rows.join(several, rows.conv_id.eqNullSafe(several.id), "left_semi")
     matrices = _dealt(long_).mapInPandas(functools.partial(_matrices, model), "conv_id long, block long, matrix array<double>")
@@ -248,7 +262,12 @@ def parse(lines: DataFrame, model: MarkovModel) -> DataFrame:
     )
 
 
+def held_out() -> Column:
+    """Transcripts whose lines the model is not trained on."""
+    return fold(F.col("conv_id"), FOLDS) == HELD_OUT
+
+
 def parse_conversations(turns: DataFrame) -> DataFrame:
-    """Turns to raw transcripts, and back by a model trained on the same lines."""
+    """Turns to raw transcripts, and back by a model trained on those not held out."""
     lines = staged(transcript_lines(turns), "transcripts")
-    return parse(lines, train(lines))
+    return parse(lines, train(lines.filter(~held_out())))
